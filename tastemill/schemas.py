@@ -1,18 +1,16 @@
-"""Explicit schemas of all tables; nothing is ever inferred."""
+"""Explicit schemas of all tables, as DDL text; nothing is ever inferred."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-RATINGS = T.StructType.fromDDL("userId BIGINT, movieId BIGINT, rating DOUBLE, timestamp BIGINT")
-MOVIES = T.StructType.fromDDL("movieId BIGINT, title STRING, genres STRING")
-TAGS = T.StructType.fromDDL("userId BIGINT, movieId BIGINT, tag STRING, timestamp BIGINT")
+RATINGS = "userId BIGINT, movieId BIGINT, rating DOUBLE, timestamp BIGINT"
+MOVIES = "movieId BIGINT, title STRING, genres STRING"
+TAGS = "userId BIGINT, movieId BIGINT, tag STRING, timestamp BIGINT"
 # tmdbId is read as text and coerced, so that a malformed id becomes null.
-LINKS = T.StructType.fromDDL("movieId BIGINT, imdbId STRING, tmdbId STRING")
-GENOME_SCORES = T.StructType.fromDDL("movieId BIGINT, tagId INT, relevance DOUBLE")
-GENOME_TAGS = T.StructType.fromDDL("tagId INT, tag STRING")
-METADATA_RAW = T.StructType.fromDDL("tmdbId BIGINT, raw STRING")
-METADATA_JSON = T.StructType.fromDDL(
+LINKS = "movieId BIGINT, imdbId STRING, tmdbId STRING"
+GENOME_SCORES = "movieId BIGINT, tagId INT, relevance DOUBLE"
+GENOME_TAGS = "tagId INT, tag STRING"
+METADATA_RAW = "tmdbId BIGINT, raw STRING"
+METADATA_JSON = (
     "overview STRING, poster_path STRING, release_date STRING, runtime INT, "
     "vote_average DOUBLE, vote_count BIGINT, popularity DOUBLE, original_language STRING, "
     "genres ARRAY<STRUCT<name: STRING>>, "
@@ -24,11 +22,11 @@ def metric_names(ks) -> list[str]:
     return [f"{name}@{k}" for k in ks for name in ("hr", "p", "r", "ndcg")]
 
 
-def cb_results(ks=(5, 10, 20)) -> T.StructType:
+def cb_results(ks=(5, 10, 20)) -> str:
     cols = ["model STRING", "n_users BIGINT"] + [f"`{m}` DOUBLE" for m in metric_names(ks)]
-    return T.StructType.fromDDL(", ".join(cols))
+    return (", ".join(cols))
 
 
-def cf_results(ks=(5, 10, 20)) -> T.StructType:
+def cf_results(ks=(5, 10, 20)) -> str:
     cols = ["model STRING", "n_users BIGINT", "rmse DOUBLE"]
-    return T.StructType.fromDDL(", ".join(cols + [f"`{m}` DOUBLE" for m in metric_names(ks)]))
+    return (", ".join(cols + [f"`{m}` DOUBLE" for m in metric_names(ks)]))

@@ -10,7 +10,7 @@ from .. import schemas
 from ..functions import text
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Header CSV in UTF-8; doubled quotes inside quoted fields are one quote."""
     return (
         spark.read.schema(schema)
@@ -83,7 +83,7 @@ def write_results_csv(results: DataFrame, path: str) -> None:
     results.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def read_results_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_results_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return read_csv(spark, path, schema)
 
 

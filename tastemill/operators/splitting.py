@@ -27,11 +27,13 @@ def _order_in_history(ratings: DataFrame, hot_rows: int) -> DataFrame:
         ratings.groupBy("userId").agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > hot_rows)
     )
-    w = Window.partitionBy("userId")
+    # One window spec for both columns: one shuffle and one sort.
+    w = Window.partitionBy("userId").orderBy("timestamp", "movieId")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ordinary = (
         ratings.join(hot, "userId", "left_anti")
-        .withColumn("n", F.count(F.lit(1)).over(w))
-        .withColumn("k", F.row_number().over(w.orderBy("timestamp", "movieId")).cast("bigint"))
+        .withColumn("n", F.count(F.lit(1)).over(whole))
+        .withColumn("k", F.row_number().over(w).cast("bigint"))
     )
     levels = [
         F.shiftright("timestamp", 16),

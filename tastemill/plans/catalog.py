@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import queries_prepare  # noqa: F401
+from . import queries_prepare, queries_recommend  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -61,7 +61,7 @@ def main() -> None:
     names = sys.argv[2:]
     spark = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-        .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").getOrCreate()
+        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     sf_dir = f"/root/testdata/{sf}"

@@ -86,10 +86,14 @@ def encode_text(items: DataFrame, text: str, make_encoder, batch_size: int = 64)
 
 
 def unit(vec: Column, weight: float = 1.0) -> Column:
-    """L2-normalised vector times a weight; a zero vector stays zero."""
+    """L2-normalised vector times a weight; a zero vector stays zero.
+
+    The outer one-element transform binds the factor, so it is computed once per
+    vector and not once per element.
+    """
     norm = F.sqrt(F.aggregate(vec, F.lit(0.0), lambda a, x: a + x * x))
     factor = F.when(norm == 0, 0.0).otherwise(F.lit(float(weight)) / norm)
-    return F.transform(vec, lambda x: x * factor)
+    return F.transform(F.array(factor), lambda f: F.transform(vec, lambda x: x * f))[0]
 
 
 def combine(groups: Sequence[tuple[DataFrame, float]], index: DataFrame) -> DataFrame:

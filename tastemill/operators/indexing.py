@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .ranking import radix_rank
 
 # Bits per radix level: a bucket holds at most 2^20 distinct ids.
@@ -13,7 +14,8 @@ _LEVEL_BITS = (40, 20)
 
 def build_index(ids: DataFrame, key: str, out: str) -> DataFrame:
     """(key, out): ``out`` numbers the distinct ids in ascending order from 0."""
-    distinct = ids.select(F.col(key).cast("bigint").alias(key)).dropna().distinct()
+    # Written once: the level counts and the final rank both read the ids.
+    distinct = cut_lineage(ids.select(F.col(key).cast("bigint").alias(key)).dropna().distinct())
     levels = [F.shiftright(F.col(key), bits) for bits in _LEVEL_BITS]
     ranked = radix_rank(distinct, [], levels, [key], "__rank")
     return ranked.select(key, (F.col("__rank") - 1).cast("int").alias(out))

@@ -36,23 +36,27 @@ def user_histories(ratings: DataFrame, user: str = "userId", item: str = "movieI
 def genome_vectors(scores: DataFrame, movies: DataFrame) -> DataFrame:
     """(movie_idx, features): relevance per tag in tagId order for every item.
 
-    No 1,128-column pivot: one aggregation packs each item's scores into a map
-    (as many entries as there are tags), read out in the tag order, which is
-    itself one row of the fixed tag vocabulary. Items without scores get zeros.
+    No 1,128-column pivot: one aggregation packs each item's scores (as many
+    as there are tags) sorted by tag. An item scored on all tags, the usual case,
+    is that array as it is; others are looked up along the tag vocabulary. Items
+    without scores get zeros.
     """
     tags = scores.agg(F.array_sort(F.collect_set("tagId")).alias("t")).select("t").scalar()
     packed = (
         scores.join(movies, "movieId")
         .groupBy("movie_idx")
-        .agg(F.map_from_entries(F.collect_set(F.struct("tagId", "relevance"))).alias("m"))
+        .agg(F.sort_array(F.collect_set(F.struct("tagId", "relevance"))).alias("cells"))
     )
     joined = movies.select("movie_idx").join(packed, "movie_idx", "left").withColumn("tags", tags)
-    value = F.transform(
-        "tags", lambda t: F.coalesce(F.element_at("m", t), F.lit(0.0))
-    )
+    by_tag = F.map_from_entries("cells")
+    looked_up = F.transform(
+        F.array(by_tag), lambda m: F.transform("tags", lambda t: F.coalesce(F.element_at(m, t), F.lit(0.0)))
+    )[0]
     return joined.select(
         "movie_idx",
-        F.when(F.col("m").isNull(), F.transform("tags", lambda _: F.lit(0.0))).otherwise(value).alias("features"),
+        F.when(F.col("cells").isNull(), F.array_repeat(F.lit(0.0), F.size("tags")))
+        .when(F.size("cells") == F.size("tags"), F.col("cells.relevance"))
+        .otherwise(looked_up).alias("features"),
     )
 
 

@@ -20,21 +20,25 @@ def _order_in_history(ratings: DataFrame, hot_rows: int) -> DataFrame:
     """Add n (history length) and k (1-based position by time, then movie).
 
     Ordinary users: one window, one shuffle. Users above ``hot_rows`` go through
-    radix ranks. The list of hot users is short (total rows / hot_rows); when it
-    is empty, adaptive execution drops the hot branch and the anti join.
+    radix ranks. Whether there are any is one narrow counting job (partial
+    aggregation on the user column); usually there are none and the plan is the
+    plain window.
     """
     hot = (
         ratings.groupBy("userId").agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > hot_rows)
     )
+    any_hot = not hot.isEmpty()
     # One window spec for both columns: one shuffle and one sort.
     w = Window.partitionBy("userId").orderBy("timestamp", "movieId")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ordinary = (
-        ratings.join(hot, "userId", "left_anti")
+        (ratings.join(hot, "userId", "left_anti") if any_hot else ratings)
         .withColumn("n", F.count(F.lit(1)).over(whole))
         .withColumn("k", F.row_number().over(w).cast("bigint"))
     )
+    if not any_hot:
+        return ordinary
     levels = [
         F.shiftright("timestamp", 16),
         F.col("timestamp"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import TfidfParams
 from ..functions.text import word_tokens
+from ..session import cut_lineage
 
 
 def english_stop_words() -> tuple[str, ...]:
@@ -53,7 +54,7 @@ def tfidf(counts: DataFrame, vocab: DataFrame, n_docs, params: TfidfParams = Tfi
     """(doc, terms): per document the array of (term_idx, weight), L2-normalised.
 
     The vocabulary is bounded, so it is broadcast; one shuffle on the document
-    packs its at most ``max_features`` weights, and the norm is taken in place.
+    packs its at most ``max_features`` weights and takes their norm.
     """
     tf = F.col("tf").cast("double")
     tf = 1.0 + F.log(tf) if params.sublinear_tf else tf
@@ -61,11 +62,13 @@ def tfidf(counts: DataFrame, vocab: DataFrame, n_docs, params: TfidfParams = Tfi
     weighted = (
         counts.join(F.broadcast(vocab.select("term", "df", "term_idx")), "term")
         .withColumn("n_docs", n_docs)
-        .select("doc", F.struct("term_idx", (tf * idf).alias("weight")).alias("cell"))
+        .select("doc", "term_idx", (tf * idf).alias("weight"))
     )
-    packed = weighted.groupBy("doc").agg(F.sort_array(F.collect_list("cell")).alias("terms"))
-    norm = F.sqrt(F.aggregate("terms", F.lit(0.0), lambda a, c: a + c["weight"] * c["weight"]))
-    return packed.withColumn("norm", norm).select(
+    packed = weighted.groupBy("doc").agg(
+        F.sort_array(F.collect_list(F.struct("term_idx", "weight"))).alias("terms"),
+        F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"),
+    )
+    return packed.select(
         "doc",
         F.transform(
             "terms", lambda c: F.struct(c["term_idx"].alias("term_idx"), (c["weight"] / F.col("norm")).alias("weight"))
@@ -74,9 +77,14 @@ def tfidf(counts: DataFrame, vocab: DataFrame, n_docs, params: TfidfParams = Tfi
 
 
 def fit_tfidf(counts: DataFrame, docs: DataFrame, params: TfidfParams = TfidfParams()) -> tuple[DataFrame, DataFrame]:
-    """(packed TF-IDF rows, vocabulary) with the document count of ``docs``."""
+    """(packed TF-IDF rows, vocabulary) with the document count of ``docs``.
+
+    The counts are written once, so texts are tokenised once although fitting
+    and weighting both need them; the vocabulary is fitted state.
+    """
     n_docs = docs.agg(F.count(F.lit(1)).cast("double")).scalar()
-    vocab = vocabulary(counts, n_docs, params)
+    counts = cut_lineage(counts)
+    vocab = cut_lineage(vocabulary(counts, n_docs, params))
     return tfidf(counts, vocab, n_docs, params), vocab
 
 

@@ -6,16 +6,22 @@ from pyspark.sql import functions as F
 
 from ..functions import metadata, text
 from ..operators import filtering, indexing, matrices, splitting, tag_text
+from ..session import cut_lineage
 from ..sources import metadata_cache, tables
 from ..sources.driver_views import VIEW_MIN_MOVIE, VIEW_MIN_USER, Views, with_views
 from . import prepare
 from .registry import register
 
 
-def filtered(v: Views):
+def active(v: Views):
     return filtering.filter_ratings(v.ratings, VIEW_MIN_USER, VIEW_MIN_MOVIE)
 
 
+def filtered(v: Views):
+    """The active ratings as a written table, for queries with several readers."""
+    return cut_lineage(active(v))
+
+
 def split(v: Views):
     return splitting.temporal_split(filtered(v))
 
@@ -25,7 +31,7 @@ SELECT 'before' AS stage, count(*) AS n_ratings, count(DISTINCT userId) AS n_use
        count(DISTINCT movieId) AS n_movies FROM ratings
 UNION ALL SELECT 'after', count(*), count(DISTINCT userId), count(DISTINCT movieId) FROM filtered"""))
 def s1_ratings_profile(v):
-    return filtering.filter_report(v.ratings, filtered(v))
+    return filtering.filter_report(v.ratings, active(v))
 
 
 @register("s15_table_profile", with_views(["ratings"], """
@@ -53,7 +59,7 @@ SELECT userId, movieId // 4096 AS chunk, count(*) AS n_items,
        string_agg(concat(movieId, ':', CAST(CAST(rating * 2 AS INT) AS VARCHAR)), '|' ORDER BY movieId) AS history
 FROM filtered GROUP BY ALL"""))
 def a4_user_histories(v):
-    h = matrices.user_histories(filtered(v))
+    h = matrices.user_histories(active(v))
     item = lambda x: F.concat(x["movieId"].cast("string"), F.lit(":"), (x["rating"] * 2).cast("int").cast("string"))
     return h.select(
         "userId", "chunk", F.size("history").cast("bigint").alias("n_items"),
@@ -63,7 +69,7 @@ def a4_user_histories(v):
 
 @register("p1_activity_filter", with_views(["filtered"], 'SELECT userId, movieId, rating, "timestamp" FROM filtered'))
 def p1_activity_filter(v):
-    return filtered(v).select("userId", "movieId", "rating", "timestamp")
+    return active(v).select("userId", "movieId", "rating", "timestamp")
 
 
 @register("p2_align_catalogue", with_views(["filtered", "movies", "links", "tags"], """

@@ -131,7 +131,7 @@ class FeatureGroups:
         return self._text_svd(tfidf.term_counts(self.items, "movie_idx", column), params, k)
 
     def _text_svd(self, counts: DataFrame, params: TfidfParams, k: int):
-        rows, vocab = tfidf.fit_tfidf(cut_lineage(counts), self.items, params)
+        rows, vocab = tfidf.fit_tfidf(counts, self.items, params)
         return self._project(rows, vocab.count(), k)
 
     def _director(self):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,6 +50,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives executor loss, ends the growing plan."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` as a table in the shared checkpoint folder and read it back.
+
+    The plan behind it runs once (an RDD checkpoint would run the last stage
+    twice), readers prune columns, the file size is known to the join planner,
+    and a lost executor costs a re-read, not a recomputation.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -11,6 +11,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 # Activity thresholds that fit the test tables.
 VIEW_MIN_USER = 20
 VIEW_MIN_MOVIE = 20
@@ -41,10 +43,18 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name]).parquet(f"{self.dir}/{name}.parquet")
 
+    def _spread(self, df: DataFrame) -> DataFrame:
+        """A plain scan with fewer splits than cores is small: use all cores."""
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
     @cached_property
     def _purchases(self) -> DataFrame:
         return self.table("orders").select("o_orderkey", "o_custkey").join(
-            self.table("lineitem"), F.col("o_orderkey") == F.col("l_orderkey")
+            self._spread(self.table("lineitem").select(
+                "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate"
+            )),
+            F.col("o_orderkey") == F.col("l_orderkey"),
         )
 
     @property
@@ -53,12 +63,13 @@ class Views:
 
     @cached_property
     def ratings(self) -> DataFrame:
-        """Latest rating per (user, item): one hash aggregation, no window."""
+        """Latest rating per (user, item): one aggregation, no window. Written,
+        as a ratings table would be: most operators read it more than once."""
         newest = F.struct("l_shipdate", "l_orderkey", "l_linenumber")
         value = F.struct(
             (F.ceil(F.col("l_quantity") / 5.0) / 2.0).alias("rating"), self._day.alias("timestamp")
         )
-        return (
+        return cut_lineage(
             self._purchases
             .groupBy(F.col("o_custkey").alias("userId"), F.col("l_partkey").alias("movieId"))
             .agg(F.max_by(value, newest).alias("r"))
@@ -151,7 +162,7 @@ class Views:
 
     @cached_property
     def documents(self) -> DataFrame:
-        return self.table("documents")
+        return self._spread(self.table("documents"))
 
 
 _DAY = "CAST(date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS BIGINT) * 86400"

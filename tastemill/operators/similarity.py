@@ -32,7 +32,7 @@ def neighbours(
     distance. A catalogue of fewer than K + 1 items gives n - 1 rows per item.
     """
     check_metric(metric)
-    layout = layout or tiles.plan_layout(features)
+    layout = layout or tiles.plan_layout(features, self_join=True)
     vectors = features.select(F.col("movie_idx").alias("item"), F.col("features").alias("vec"))
     queries = features.select(F.col("movie_idx").alias("key"), F.col("features").alias("vec"))
     found = tiles.top_k(queries, vectors, top_k, layout, metric, exclude_self=True)

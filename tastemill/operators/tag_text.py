@@ -5,16 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Tags of 2^12 neighbouring user ids are joined in one task.
+USER_RANGE_BITS = 12
+
 
 def concat_tags(tags: DataFrame) -> DataFrame:
     """(movieId, user_tags_text): all tags of an item in user, time, tag order.
 
-    One text cell per item is the result. Feature groups do not read it: they
-    count words on the tag rows (``tfidf.tag_term_counts``), so no item's tags
-    have to meet in one task for them.
+    Two steps, so that a hot item's rows are sorted in bounded user ranges on
+    many tasks and only finished pieces meet. The one cell per item is the
+    result itself; feature groups do not read it but count words on the tag
+    rows (``tfidf.tag_term_counts``).
     """
-    return tags.groupBy("movieId").agg(
-        F.expr("listagg(tag, ' ') WITHIN GROUP (ORDER BY userId, timestamp, tag)").alias("user_tags_text")
+    pieces = tags.groupBy("movieId", F.shiftright("userId", USER_RANGE_BITS).alias("range")).agg(
+        F.expr("listagg(tag, ' ') WITHIN GROUP (ORDER BY userId, timestamp, tag)").alias("piece")
+    )
+    return pieces.groupBy("movieId").agg(
+        F.expr("listagg(piece, ' ') WITHIN GROUP (ORDER BY range)").alias("user_tags_text")
     )
 
 

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from ..config import TfidfParams
 from ..functions.text import word_tokens
 from ..session import cut_lineage
+from .ranking import radix_rank
+
+# Prefix lengths of the radix levels that number sorted labels.
+_PREFIX_LENGTHS = (8, 12, 18, 26)
 
 
 def english_stop_words() -> tuple[str, ...]:
@@ -105,18 +109,7 @@ def binary_labels(labels: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def number_terms(terms: DataFrame) -> DataFrame:
-    """(term, term_idx) in sorted order: offsets of short-prefix buckets plus the
-    position inside the bucket."""
-    prefix = F.substring("term", 1, 8)
-    keyed = terms.withColumn("__p", prefix)
-    sizes = keyed.groupBy("__p").agg(F.count(F.lit(1)).alias("__n")).withColumn("__q", F.substring("__p", 1, 4))
-    heads = sizes.groupBy("__q").agg(F.sum("__n").alias("__m"))
-    before = lambda part, order: Window.partitionBy(part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    heads = heads.select("__q", F.coalesce(F.sum("__m").over(before(F.lit(0), "__q")), F.lit(0)).alias("__a"))
-    sizes = sizes.select("__p", "__q", F.coalesce(F.sum("__n").over(before("__q", "__p")), F.lit(0)).alias("__b"))
-    offsets = sizes.join(heads, "__q").select("__p", (F.col("__a") + F.col("__b")).alias("__o"))
-    within = F.row_number().over(Window.partitionBy("__p").orderBy("term"))
-    return (
-        keyed.withColumn("__r", within).join(offsets, "__p")
-        .select("term", (F.col("__o") + F.col("__r") - 1).cast("int").alias("term_idx"))
-    )
+    """(term, term_idx) in sorted order, ranked by growing prefixes."""
+    levels = [F.substring("term", 1, length) for length in _PREFIX_LENGTHS]
+    ranked = radix_rank(cut_lineage(terms), [], levels, ["term"], "__rank")
+    return ranked.select("term", (F.col("__rank") - 1).cast("int").alias("term_idx"))

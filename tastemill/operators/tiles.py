@@ -31,6 +31,8 @@ from .ranking import top_per_group
 SCORE_DECIMALS = 10
 _QUERY_CHUNK = 256
 _GATHER_CHUNK = 4096
+# Fewest queries worth a copy of the item side.
+_SHARD_ROWS = 64
 
 
 @dataclass(frozen=True)
@@ -44,14 +46,21 @@ class Layout:
 
 
 def plan_layout(
-    vectors: DataFrame, block_bytes: int = ITEM_BLOCK_BYTES, vec: str = "features"
+    vectors: DataFrame, block_bytes: int = ITEM_BLOCK_BYTES, vec: str = "features", self_join: bool = False
 ) -> Layout:
-    """Blocks from the measured size of the item side; shards fill the cluster."""
+    """Blocks from the measured size of the item side; shards fill the cluster.
+
+    Every shard gets a copy of each block, so a self join, whose query count is
+    known, takes no more shards than it has work for.
+    """
     size = vectors.agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size(vec)), F.lit(1)).alias("d")
     ).first()
     blocks = max(1, -(-size["n"] * size["d"] * 8 // block_bytes))
-    return Layout(max(1, -(-_parallelism(vectors.sparkSession) // blocks)), int(blocks))
+    shards = -(-_parallelism(vectors.sparkSession) // blocks)
+    if self_join:
+        shards = min(shards, -(-size["n"] // _SHARD_ROWS))
+    return Layout(max(1, int(shards)), int(blocks))
 
 
 def _parallelism(spark: SparkSession) -> int:

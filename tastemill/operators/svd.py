@@ -103,7 +103,7 @@ def _gram_pass(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
     partial = rows.select("terms").mapInArrow(kernel, "key BIGINT, vec ARRAY<DOUBLE>")
     total = np.zeros(basis.shape)
     # Bounded by SVD_BASIS_BYTES, checked in truncated_svd.
-    summed = tiles.sum_vectors(partial, "key", "vec").toArrow()
+    summed = tiles.sum_vectors(partial, "key", "vec", basis.shape[1]).toArrow()
     if summed.num_rows:
         keys = summed.column("key").to_numpy()
         total[keys] = tiles._matrix(summed.column("vec").combine_chunks())
@@ -163,7 +163,7 @@ def _small_gram(vectors: DataFrame, width: int) -> np.ndarray:
         yield tiles._vec_batch(np.arange(width), g)
 
     partial = vectors.select("vec").mapInArrow(kernel, "key BIGINT, vec ARRAY<DOUBLE>")
-    table = tiles.sum_vectors(partial, "key", "vec").toArrow().sort_by("key")
+    table = tiles.sum_vectors(partial, "key", "vec", width).toArrow().sort_by("key")
     return tiles._matrix(table.column("vec").combine_chunks())
 
 

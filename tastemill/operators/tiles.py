@@ -240,8 +240,18 @@ def _vec_batch(keys, matrix) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(keys, type=pa.int64()), vec], names=["key", "vec"])
 
 
-def sum_vectors(df: DataFrame, key: str, vec: str) -> DataFrame:
-    """Element-wise sum of an array column per key (JVM-side, partial aggregation)."""
+# Widest vectors summed as one generated-code sum per element.
+_WIDE = 64
+
+
+def sum_vectors(df: DataFrame, key: str, vec: str, dims: int | None = None) -> DataFrame:
+    """Element-wise sum of an array column per key (JVM-side, partial aggregation).
+
+    Short vectors of known width are plain sums; others use the ML summarizer.
+    """
+    if dims is not None and dims <= _WIDE:
+        sums = df.groupBy(key).agg(*[F.sum(F.col(vec)[i]).alias(f"__{i}") for i in range(dims)])
+        return sums.select(key, F.array(*[f"__{i}" for i in range(dims)]).alias(vec))
     summed = df.groupBy(key).agg(Summarizer.sum(array_to_vector(F.col(vec))).alias(vec))
     return summed.select(key, vector_to_array(vec).alias(vec))
 

@@ -21,15 +21,16 @@ def enrich_items(
     movie_index: DataFrame,
     links: DataFrame,
     flat_metadata: DataFrame,
-    tags: DataFrame,
+    tags: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per indexed item with links, flat metadata and tag text."""
-    return (
+    """One row per indexed item with links, flat metadata and, given tags, the
+    tag text. Feature groups take tag rows and need no text column."""
+    items = (
         movies.join(movie_index, "movieId")
         .join(links, "movieId", "left")
         .join(flat_metadata, "tmdbId", "left")
-        .join(tag_text.concat_tags(tags), "movieId", "left")
     )
+    return items if tags is None else items.join(tag_text.concat_tags(tags), "movieId", "left")
 
 
 def prepare(

@@ -89,7 +89,8 @@ def rounded(results: DataFrame, ks: Sequence[int] = KS) -> DataFrame:
 
 
 def _cell(column: str, width: int, is_float: bool) -> Column:
-    value = F.format_string("%.4f", F.col(f"`{column}`")) if is_float else F.col(f"`{column}`").cast("string")
+    # A pattern rounds the stored binary value half-even, as "%.4f" does in C.
+    value = F.expr(f"format_number(`{column}`, '0.0000')") if is_float else F.col(f"`{column}`").cast("string")
     # Left-justified; longer values are kept whole.
     return F.when(F.length(value) >= width, value).otherwise(F.rpad(value, width, " "))
 

@@ -22,6 +22,8 @@ from . import tiles
 
 OVERSAMPLING = 10
 ITERATIONS = 5
+# With no more columns than this the sketch is the whole space: one exact pass.
+EXACT_COLUMNS = 256
 _SLICE = 8192
 
 
@@ -43,13 +45,14 @@ def truncated_svd(
     seed: int = SEED,
     iterations: int = ITERATIONS,
     basis_bytes: int = SVD_BASIS_BYTES,
+    exact_columns: int = EXACT_COLUMNS,
 ) -> SvdResult:
     """Project each row on the k leading right singular vectors. Missing
     components (rank below k) come out as zeros."""
     if n_columns == 0 or k <= 0:
         zero = rows.select("doc", F.array(F.lit(0.0)).alias("features"))
         return SvdResult(zero, np.zeros(1))
-    sketch = min(n_columns, k + OVERSAMPLING)
+    sketch = n_columns if n_columns <= exact_columns else min(n_columns, k + OVERSAMPLING)
     rows = cut_lineage(rows)  # every pass below reads the same written rows
     solve = _broadcast_svd if n_columns * sketch * 8 <= basis_bytes else _table_svd
     return solve(rows, n_columns, k, sketch, seed, iterations)

@@ -250,7 +250,7 @@ def sum_vectors(df: DataFrame, key: str, vec: str, dims: int | None = None) -> D
     Short vectors of known width are plain sums; others use the ML summarizer.
     """
     if dims is not None and dims <= _WIDE:
-        sums = df.groupBy(key).agg(*[F.sum(F.col(vec)[i]).alias(f"__{i}") for i in range(dims)])
+        sums = df.groupBy(key).agg(*[F.expr(f"sum({vec}[{i}]) AS __{i}") for i in range(dims)])
         return sums.select(key, F.array(*[f"__{i}" for i in range(dims)]).alias(vec))
     summed = df.groupBy(key).agg(Summarizer.sum(array_to_vector(F.col(vec))).alias(vec))
     return summed.select(key, vector_to_array(vec).alias(vec))

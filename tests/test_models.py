@@ -57,11 +57,11 @@ def sparse_rows(spark, m):
     return spark.createDataFrame(data, "doc LONG, terms ARRAY<STRUCT<term_idx: INT, weight: DOUBLE>>").repartition(3)
 
 
-@pytest.mark.parametrize("basis_bytes", [1 << 26, 1])
-def test_svd_recovers_a_low_rank_matrix(spark, basis_bytes):
+@pytest.mark.parametrize("basis_bytes, exact", [(1 << 26, 0), (1, 0), (1 << 26, 256), (1, 256)])
+def test_svd_recovers_a_low_rank_matrix(spark, basis_bytes, exact):
     rng = np.random.default_rng(0)
     m = np.abs(rng.normal(size=(40, 3))) @ np.abs(rng.normal(size=(3, 30)))
-    r = svd.truncated_svd(sparse_rows(spark, m), 30, 5, basis_bytes=basis_bytes)
+    r = svd.truncated_svd(sparse_rows(spark, m), 30, 5, basis_bytes=basis_bytes, exact_columns=exact)
     p = np.array([x.features for x in r.projected.orderBy("doc").collect()])
     assert p.shape == (40, 5)
     assert np.allclose(p @ p.T, m @ m.T, atol=1e-6 * np.abs(m @ m.T).max())
@@ -71,10 +71,10 @@ def test_svd_recovers_a_low_rank_matrix(spark, basis_bytes):
 
 def test_svd_on_a_full_rank_matrix_is_close(spark):
     m = np.random.default_rng(7).random((80, 60)) * (np.random.default_rng(8).random((80, 60)) < 0.2)
-    r = svd.truncated_svd(sparse_rows(spark, m), 60, 8)
+    r = svd.truncated_svd(sparse_rows(spark, m), 60, 8, exact_columns=0)
     u, s, vt = np.linalg.svd(m)
     assert np.allclose(r.singular_values, s[:8], rtol=2e-2)
-    again = svd.truncated_svd(sparse_rows(spark, m), 60, 8)
+    again = svd.truncated_svd(sparse_rows(spark, m), 60, 8, exact_columns=0)
     assert np.allclose(r.singular_values, again.singular_values)
     share = svd.explained_variance(sparse_rows(spark, m), r.projected, F.lit(80)).first()[0]
     p = (m @ vt.T)[:, :8]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import apply_sql_defaults
-from . import decontaminate, simhash
+from . import decontaminate, simhash, super_kmers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -69,3 +69,20 @@ runs AS (SELECT doc_id, max(p + k - s) AS longest FROM (
 SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   coalesce(digest, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated, coalesce(longest, 0) AS longest_match
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN runs USING (doc_id)"""
+
+
+@_query
+def op6_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return super_kmers.remove_repeats(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+_WORDS = r"[^\x20\x09-\x0D]+"
+
+ORACLES["op6_super_kmers"] = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents),
+k AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS win FROM (SELECT *, unnest(range(1, len(w) - 11)) AS i FROM d)),
+f AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY win) AS first FROM k),
+gone AS (SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range(i, i + 13)) AS p FROM f WHERE doc_id > first) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(len(ps), 0) AS n_removed,
+  sha256(array_to_string(list_filter(w, lambda x, i: ps IS NULL OR NOT list_contains(ps, i)), ' ')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)"""

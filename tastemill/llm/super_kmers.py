@@ -32,8 +32,8 @@ from .words import WHITE, Words, blocks, mix, spans_hash, text_buffer, windows
 
 WINDOW = 13
 MINIMISER = 3
-BUCKET_BYTES = 8 << 20  # text bytes per bucket, in the mean
-FLUSH_BYTES = 16 << 20  # text bytes that a task packs at once
+BUCKET_BYTES = 4 << 20  # text bytes per bucket, in the mean
+FLUSH_BYTES = 8 << 20  # text bytes that a task packs at once
 
 _PACKED = "bucket long, kind int, uid long, payload binary"
 
@@ -148,9 +148,10 @@ def _window_ids(words: Words, at: np.ndarray, window: int) -> np.ndarray:
     same = np.append(False, value[1:] == value[:-1])
     starts, ends = words.starts[at[order]], words.ends[at[order] + window - 1]
     data = words.buf.tobytes()
-    twice = np.flatnonzero(same)
-    differ = [k for k, s, e, t, f in zip(twice.tolist(), starts[twice].tolist(), ends[twice].tolist(), starts[twice - 1].tolist(), ends[twice - 1].tolist())
-              if data[s:e] != data[t:f]]
+    twice, differ = np.flatnonzero(same), []
+    for part in np.array_split(twice, len(twice) // 65536 + 1):
+        spans = (x.tolist() for x in (part, starts[part], ends[part], starts[part - 1], ends[part - 1]))
+        differ += [k for k, s, e, t, f in zip(*spans) if data[s:e] != data[t:f]]
     ids = np.empty(len(at), np.int64)
     ids[order] = np.cumsum(~same)
     if differ:  # hashes met by chance: number the windows of these hashes by their words
@@ -217,7 +218,8 @@ def _count(window: int):
     def run(batches):
         bucket, current, closed = None, -1, False
         for batch in batches:
-            for b, kind, uid, payload in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            for b, kind, uid, cell in zip(*(batch.column(k).to_pylist() for k in range(3)), batch.column(3)):
+                payload = cell.as_buffer()
                 if b != current:
                     bucket, current, closed = _Bucket(window), b, False
                 if kind == 0:

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 2 << 20  # text bytes handled at once; one longer text is a block of its own
+CHUNK = 1 << 20  # values hashed at once
 
 # Bytes that end a word: white space, and everything but ASCII letters, digits and non-ASCII.
 WHITE = np.zeros(256, bool)
@@ -29,7 +30,7 @@ def _power(base: np.uint64, n: int) -> np.ndarray:
         have = np.full(max(n, 1), base, np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
-        if n <= 2 * BLOCK_BYTES:
+        if n <= 2 * CHUNK:
             _powers[int(base)] = have
     return have[:n]
 
@@ -45,12 +46,24 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def spans_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Position-free hash of values[start:end] for each span; equal spans have equal hashes."""
-    n = len(values)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(values * _power(_BASE, n), out=total[1:])
-    return mix((total[ends] - total[starts]) * _power(_INVERSE, n + 1)[starts] + (ends - starts).astype(np.uint64))
+def spans_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+    """Position-free hash of values[start:end] for each span, starts ascending; equal spans have equal hashes.
+
+    ``table`` maps the values first. Works on slices of about CHUNK values, so
+    that the memory needed does not follow the length of ``values``.
+    """
+    out, at = np.empty(len(starts), np.uint64), 0
+    while at < len(starts):
+        low = int(starts[at])
+        to = max(at + 1, int(np.searchsorted(starts, low + CHUNK)))
+        high = int(ends[at:to].max())
+        part = values[low:high] if table is None else table[values[low:high]]
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * _power(_BASE, len(part)), out=total[1:])
+        s, e = starts[at:to] - low, ends[at:to] - low
+        out[at:to] = mix((total[e] - total[s]) * _power(_INVERSE, len(part) + 1)[s] + (e - s).astype(np.uint64))
+        at = to
+    return out
 
 
 class Words:
@@ -73,7 +86,7 @@ class Words:
         return np.diff(self.first)
 
     def hashes(self) -> np.ndarray:
-        return spans_hash(_BYTES[self.buf], self.starts, self.ends)
+        return spans_hash(self.buf, self.starts, self.ends, _BYTES)
 
     def owners(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.offsets) - 1), self.counts)

@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding of whole texts with a hierarchical-bitmap rank queue.
 
 Pairs wait in one bucket per merge rank; a bucket holds positions of a linked
-list of parts. A three-level bitmap marks the ranks in use: find-first-set of
+list of parts, taken from the left. A three-level bitmap marks the ranks in use: find-first-set of
 each level gives the least rank in three steps, whatever the length of the
 pre-token. Positions whose pair has changed are stale and are skipped when
 they come up. A pre-token of n bytes costs O(n) queue operations, so very long
@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -23,93 +23,94 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-REMEMBERED = 200_000  # pre-tokens kept per task
+REMEMBERED = 300_000  # pre-tokens kept per generation and worker
 REMEMBERED_BYTES = 48  # of at most so many bytes
 
 
-class RankQueue:
-    """Buckets of positions by rank; pop() gives the leftmost position of the least rank."""
-
-    def __init__(self, ranks: int):
-        self.low, self.mid, self.top = [0] * (ranks // 64 + 1), [0] * (ranks // 4096 + 1), 0
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket:
-            heapq.heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        a, b = rank >> 6, rank >> 12
-        self.low[a] |= 1 << (rank & 63)
-        self.mid[b] |= 1 << (a & 63)
-        self.top |= 1 << b
-
-    def pop(self) -> tuple[int, int] | None:
-        """(rank, position), or None when empty."""
-        if not self.top:
-            return None
-        b = (self.top & -self.top).bit_length() - 1
-        word = self.mid[b]
-        a = b << 6 | (word & -word).bit_length() - 1
-        word = self.low[a]
-        rank = a << 6 | (word & -word).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heapq.heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[a] &= ~(1 << (rank & 63))
-            if not self.low[a]:
-                self.mid[b] &= ~(1 << (a & 63))
-                if not self.mid[b]:
-                    self.top &= ~(1 << b)
-        return rank, position
-
-
 class Merges:
-    """Pairs of token ids to (rank, merged id). ``rank_of`` answers for a pair not seen before, or gives None."""
+    """Merges token ids by rank. ``rank_of`` gives the rank of a pair not seen before, or -1; ``merged[rank]`` the new id."""
 
-    def __init__(self, size: int, rank_of):
-        self.queue, self.rank_of, self.pairs = RankQueue(size), rank_of, {}
+    def __init__(self, ranks: int, rank_of, merged):
+        self.rank_of, self.merged, self.pairs = rank_of, merged, {}
+        # the lower levels of the bitmap: 64 ranks, and 64 words of those, to a word; a merge leaves them empty
+        self.low, self.mid = [0] * (ranks // 64 + 1), [0] * (ranks // 4096 + 1)
 
-    def rank(self, a: int, b: int) -> tuple[int, int] | None:
-        pair = a, b
-        if pair not in self.pairs:
-            if len(self.pairs) > 4 * REMEMBERED:
-                self.pairs.clear()
-            self.pairs[pair] = self.rank_of(a, b)
-        return self.pairs[pair]
+    def learn(self, a: int, b: int) -> int:
+        if len(self.pairs) > 4 * REMEMBERED:
+            self.pairs.clear()
+        rank = self.pairs[a << 20 | b] = self.rank_of(a, b)
+        return rank
 
     def merge(self, ids: list[int]) -> list[int]:
         """Merge the least rank first, the leftmost of equals, until no pair has a rank."""
-        n, queue, rank = len(ids), self.queue, self.rank
+        n = len(ids)
         if n < 2:
             return ids
+        low, mid, top, get, learn = self.low, self.mid, 0, self.pairs.get, self.learn
         ids, after, before = list(ids), list(range(1, n + 1)), list(range(-1, n - 1))
-        for k in range(n - 1):
-            if found := rank(ids[k], ids[k + 1]):
-                queue.push(found[0], k)
-        while top := queue.pop():
-            at = top[1]
-            right = after[at]
-            if ids[at] < 0 or right >= n:
-                continue  # stale: the part is gone or the last
-            found = rank(ids[at], ids[right])
-            if not found or found[0] != top[0]:
-                continue  # stale: the pair is another one
-            ids[at], ids[right] = found[1], -1
-            beyond = after[at] = after[right]
-            if beyond < n:
-                before[beyond] = at
-                if found := rank(ids[at], ids[beyond]):
-                    queue.push(found[0], at)
-            left = before[at]
-            if left >= 0 and (found := rank(ids[left], ids[at])):
-                queue.push(found[0], left)
-        return [t for t in ids if t >= 0]
-
-
-class Encoder(dict):
+        buckets: dict[int, list[int]] = {}
+        new = [(k, ids[k], ids[k + 1]) for k in range(n - 1)]
+        while True:
+            for at, a, b in new:  # push
+                rank = get(a << 20 | b)
+                if rank is None:
+                    rank = learn(a, b)
+                if rank < 0:
+                    continue
+                if rank in buckets:
+                    buckets[rank].append(at)
+                    continue
+                buckets[rank] = [at]
+                a, b = rank >> 6, rank >> 12
+                low[a] |= 1 << (rank & 63)
+                mid[b] |= 1 << (a & 63)
+                top |= 1 << b
+            if not top:
+                return [t for t in ids if t >= 0]
+            b = (top & -top).bit_length() - 1  # find-first-set, level by level
+            word = mid[b]
+            a = b << 6 | (word & -word).bit_length() - 1
+            word = low[a]
+            rank = a << 6 | (word & -word).bit_length() - 1
+            bucket = buckets.pop(rank)
+            low[a] = word = word & word - 1
+            if not word:
+                mid[b] = word = mid[b] & mid[b] - 1
+                if not word:
+                    top &= top - 1
+            if len(bucket) > 1:
+                bucket.sort()
+            # a merged part is longer than its halves, so no new pair has this rank, and all positions can be taken at once
+            new, token = [], self.merged[rank]
+            for at in bucket:
+                right = after[at]
+                if ids[at] < 0 or right >= n or get(ids[at] << 20 | ids[right]) != rank:
+                    continue  # stale: a part is gone or the pair is another one
+                ids[at], ids[right] = token, -1
+                beyond = after[at] = after[right]
+                if beyond < n:
+                    before[beyond] = at
+                    new.append((at, token, ids[beyond]))
+                left = before[at]
+                if left >= 0:
+                    new.append((left, ids[left], token))
+
+
+class Remembered(dict):
+    """Results by pre-token in two generations, so that frequent ones stay: a full one replaces the older."""
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict = {}
+
+    def keep(self, token: str, value) -> None:
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        self[token] = value
+
+
+class Encoder(Remembered):
     """Pre-token -> packed ids; as a dict it remembers the short ones."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
@@ -119,25 +120,26 @@ class Encoder(dict):
         of, size = self.bytes_of, max(ranks.values()) + 1
 
         def rank_of(a: int, b: int):
-            rank = ranks.get(of[a] + of[b])
-            return None if rank is None else (rank, rank)
+            return ranks.get(of[a] + of[b], -1)
 
         self.single = [ranks[bytes([b])] for b in range(256)]
-        self.ranks, self.merges = ranks, Merges(size, rank_of)
+        self.ranks, self.merges = ranks, Merges(size, rank_of, range(size))
 
     def __missing__(self, token: str) -> bytes:
+        packed = self.older.get(token)
+        if packed is not None:
+            self.keep(token, packed)
+            return packed
         raw = token.encode()
         whole = self.ranks.get(raw)
         ids = [whole] if whole is not None else self.merges.merge([self.single[b] for b in raw])
-        packed = np.array(ids, "<u4").tobytes()
+        packed = array("I", ids).tobytes()
         if len(raw) <= REMEMBERED_BYTES:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[token] = packed
+            self.keep(token, packed)
         return packed
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.__getitem__, self.split(text))), "<u4")
+        return np.frombuffer(b"".join(map(self.__getitem__, self.split(text))), np.uint32)
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
@@ -207,7 +209,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             for text in batch.column("text"):
                 ids = encoder.encode(text.as_py() or "")
                 counts.append(len(ids))
-                digests.append(hashlib.sha256(ids.tobytes()).hexdigest())
+                digests.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
                 decoded.append(hashlib.sha256(encoder.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(digests), pa.array(decoded)],
                                              names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

@@ -20,7 +20,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .byte_bpe import REMEMBERED, REMEMBERED_BYTES, Merges, send_file
+from .byte_bpe import REMEMBERED, REMEMBERED_BYTES, Merges, Remembered, send_file
 
 LIMIT = 512
 
@@ -35,7 +35,7 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(c): b for c, b in [*zip(plain, plain), *zip(range(256, 256 + len(rest)), rest)]}
 
 
-class Counter(dict):
+class Counter(Remembered):
     """Pre-token -> number of tokens; proven whole tokens are there from the start."""
 
     def __init__(self, model: dict):
@@ -44,16 +44,15 @@ class Counter(dict):
         vocab = model["model"]["vocab"]
         raw = {t: bytes(alphabet[c] for c in t) for t in vocab}
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["model"]["merges"]]
-        merged = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        ranks = {(vocab[a], vocab[b]): rank for rank, (a, b) in enumerate(pairs)}
         self.single = [0] * 256
         for char, byte in alphabet.items():
             self.single[byte] = vocab[char]
-        self.merges = Merges(len(pairs), lambda a, b: merged.get((a, b)))
+        self.merges = Merges(len(pairs), lambda a, b: ranks.get((a, b), -1), [vocab[a + b] for a, b in pairs])
         self.split = regex.compile(PATTERN).findall
         special = [t["content"] for t in model.get("added_tokens", [])]
         self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
-        self.proven = self._prove(raw)
-        self.update(dict.fromkeys(self.proven, 1))
+        self.proven = dict.fromkeys(self._prove(raw), 1)
 
     def _prove(self, raw: dict[str, bytes]) -> list[str]:
         """Vocabulary strings that are one pre-token and one token alone."""
@@ -68,13 +67,14 @@ class Counter(dict):
         return proven
 
     def __missing__(self, token: str) -> int:
+        n = self.proven.get(token) or self.older.get(token)
+        if n:
+            self.keep(token, n)
+            return n
         raw = token.encode()
         n = len(self.merges.merge([self.single[b] for b in raw]))
         if len(raw) <= REMEMBERED_BYTES:
-            if len(self) >= REMEMBERED + len(self.proven):
-                self.clear()
-                self.update(dict.fromkeys(self.proven, 1))
-            self[token] = n
+            self.keep(token, n)
         return n
 
     def count(self, text: str) -> int:

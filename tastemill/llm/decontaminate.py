@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .words import LOWER, NOT_ALNUM, Words, blocks, spans_hash, text_buffer, windows
+from .words import ALNUM, LOWER, Words, blocks, text_buffer, windows
 
 WINDOW = 10
 BLOCK = 16 << 20
@@ -76,7 +76,7 @@ class Index:
 def build_index(items: list[tuple[str, str]], window: int = WINDOW) -> Index:
     column = pa.array([text for _, text in items], pa.string())
     buf, offsets = text_buffer(column)
-    words = Words(LOWER[buf], offsets, NOT_ALNUM)
+    words = Words(LOWER[buf], offsets, ALNUM)
     hashes, at = np.unique(words.hashes(), return_index=True)
     index = Index(hashes, words.buf, words.starts[at], (words.ends - words.starts)[at], sorted({n for n, _ in items}), window, {})
     place = {n: i for i, n in enumerate(index.names)}
@@ -141,7 +141,7 @@ def _matches(words: Words, position, length, item, at):
 def _scan(index: Index, block: pa.RecordBatch) -> list[list]:
     """Columns of SCHEMA for the texts of a block."""
     buf, offsets = text_buffer(block.column("text"))
-    words = Words(LOWER[buf], offsets, NOT_ALNUM)
+    words = Words(LOWER[buf], offsets, ALNUM)
     position, length, item, at = locate(index, words)
     rows = block.num_rows
     edge = np.zeros(len(words.starts) + 1, np.int64)

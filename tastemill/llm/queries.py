@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import apply_sql_defaults
-from . import byte_bpe, decontaminate, simhash, super_kmers, token_counts
+from ..session import apply_sql_defaults, ensure_checkpoint_dir
+from . import byte_bpe, decontaminate, html_templates, line_crf, pii, quality, simhash, super_kmers, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,3 +99,47 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query
+def op1_html_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_templates.extract(_table(spark, sf_dir, "pages"))
+
+
+@_query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/warc-{uuid.uuid4().hex}"
+    warc.write_archive(_table(spark, sf_dir, "pages"), path)
+    found = warc.assemble(warc.read_records(spark, path))
+    return found.select("page_id", "response.payload_bytes", "response.payload_digest", F.col("response.kind").alias("record_type"), "response.refers_to")
+
+
+ORACLES["op3_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT *, strlen(body) AS payload_bytes, sha1(body) AS hex FROM p),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS top,
+  [CAST('0x' || substr(hex, 1 + 10 * k, 10) AS BIGINT) FOR k IN range(4)] AS groups FROM d)
+SELECT page_id, payload_bytes,
+  array_to_string(flatten([[substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((v >> (35 - 5 * j)) & 31) AS BIGINT), 1) FOR j IN range(8)] FOR v IN groups]), '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> top THEN top END AS refers_to
+FROM g"""
+
+
+@_query
+def op4_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_crf.quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@_query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scores = quality.score(docs, *quality.train(docs, _table(spark, sf_dir, "labels")))
+    return scores.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@_query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(_table(spark, sf_dir, "documents"))

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import WHITE, Words, blocks, mix, spans_hash, text_buffer, windows
+from .words import Words, blocks, mix, spans_hash, text_buffer, windows
 
 WINDOW = 13
 MINIMISER = 3
@@ -119,7 +119,7 @@ def _emit(n_buckets: int, window: int):
         for block in blocks(batches):
             ids = block.column("doc_id").to_numpy(zero_copy_only=False)
             buf, offsets = text_buffer(block.column("text"))
-            words = Words(buf, offsets, WHITE)
+            words = Words(buf, offsets)
             minimiser, first, n = super_kmers(words, window)
             if len(first):
                 joined, starts = _squeeze(words)
@@ -184,7 +184,7 @@ class _Bucket:
     def close(self) -> None:
         column = pa.array(list(self.index), pa.large_binary())
         self.index = {}
-        words = Words(*text_buffer(column), WHITE)
+        words = Words(*text_buffer(column))
         at = windows(words.first, self.window)
         self.count = np.diff(words.first) - self.window + 1
         self.begin = np.concatenate(([0], np.cumsum(self.count)[:-1]))

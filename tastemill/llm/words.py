@@ -10,11 +10,12 @@ import pyarrow as pa
 BLOCK_BYTES = 2 << 20  # text bytes handled at once; one longer text is a block of its own
 CHUNK = 1 << 20  # values hashed at once
 
-# Bytes that end a word: white space, and everything but ASCII letters, digits and non-ASCII.
-WHITE = np.zeros(256, bool)
-WHITE[[0x20, *range(0x09, 0x0E)]] = True
-NOT_ALNUM = np.ones(256, bool)
-NOT_ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
+# Kinds of bytes: 0 separates words, and a word is a run of one other kind.
+SPACED = np.ones(256, np.uint8)
+SPACED[[0x20, *range(0x09, 0x0E)]] = 0
+ALNUM = np.zeros(256, np.uint8)
+ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
+RUNS = SPACED * (2 - ALNUM)  # letters and digits, or signs
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
@@ -69,15 +70,15 @@ def spans_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, table:
 class Words:
     """Words of several texts: ``buf[starts[i]:ends[i]]`` is word i; text d has words first[d] to first[d + 1]."""
 
-    def __init__(self, buf: np.ndarray, offsets: np.ndarray, ends_word: np.ndarray = WHITE):
+    def __init__(self, buf: np.ndarray, offsets: np.ndarray, kinds: np.ndarray = SPACED):
         self.buf, self.offsets = buf, offsets
-        inside = ~ends_word[buf]
-        opens, closes = inside.copy(), inside.copy()
-        opens[1:] &= ~inside[:-1]
-        closes[:-1] &= ~inside[1:]
+        kind = kinds[buf]
+        opens, closes = kind > 0, kind > 0
+        changes = kind[1:] != kind[:-1]
         cuts = offsets[(offsets > 0) & (offsets < len(buf))]  # a new text starts a new word
-        opens[cuts] = inside[cuts]
-        closes[cuts - 1] = inside[cuts - 1]
+        changes[cuts - 1] = True
+        opens[1:] &= changes
+        closes[:-1] &= changes
         self.starts, self.ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
         self.first = np.searchsorted(self.starts, offsets)
 

@@ -22,6 +22,7 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 REMEMBERED = 300_000  # pre-tokens kept per generation and worker
 REMEMBERED_BYTES = 48  # of at most so many bytes
@@ -178,7 +179,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             ids = [encoder.encode(t or "").astype(np.int32) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in out), pa.array(ids, pa.list_(pa.int32()))], names=[*out, "token_ids"])
 
-    schema = docs.select(*out).schema.add("token_ids", "array<int>")
+    schema = docs.select(*out).schema.add("token_ids", T.ArrayType(T.IntegerType()))
     return docs.mapInArrow(run, schema)
 
 
@@ -195,7 +196,7 @@ def decode(rows: DataFrame, path: str, pattern: str) -> DataFrame:
                 data = [b"" if not ids.is_valid else encoder.decode(ids.values.to_numpy()) for ids in part.column("token_ids")]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in out), pa.array(data, pa.binary())], names=[*out, "decoded"])
 
-    return rows.mapInArrow(run, rows.select(*out).schema.add("decoded", "binary"))
+    return rows.mapInArrow(run, rows.select(*out).schema.add("decoded", T.BinaryType()))
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:

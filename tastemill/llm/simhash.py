@@ -129,7 +129,8 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (np.bitwise_count(a ^ b) <= MAX_BITS) & (a != b)
+    differ = (a ^ b).view(np.uint64)  # signed values would be counted without their sign
+    return (np.bitwise_count(differ) <= MAX_BITS) & (differ != 0)
 
 
 def _bucket_links(keys: np.ndarray, fps: np.ndarray):

@@ -39,13 +39,16 @@ def genome_vectors(scores: DataFrame, movies: DataFrame) -> DataFrame:
     No 1,128-column pivot: one aggregation packs each item's scores (as many
     as there are tags) sorted by tag. An item scored on all tags, the usual case,
     is that array as it is; others are looked up along the tag vocabulary. Items
-    without scores get zeros.
+    without scores get zeros. Of repeated (item, tag) scores the largest counts.
     """
     tags = scores.agg(F.array_sort(F.collect_set("tagId")).alias("t")).select("t").scalar()
     packed = (
         scores.join(movies, "movieId")
         .groupBy("movie_idx")
         .agg(F.sort_array(F.collect_set(F.struct("tagId", "relevance"))).alias("cells"))
+        .withColumn("cells", F.filter("cells", lambda cell, at: F.coalesce(
+            F.get("cells", at + 1)["tagId"] != cell["tagId"], F.lit(True)
+        )))
     )
     joined = movies.select("movie_idx").join(packed, "movie_idx", "left").withColumn("tags", tags)
     by_tag = F.map_from_entries("cells")

@@ -12,7 +12,7 @@ from .similarity import check_metric, check_strategy
 
 
 def rating_weights(ratings: DataFrame, strategy: str = "mean_centering") -> DataFrame:
-    """Add ``weight``: share of the rating sum, or distance from the user's mean
+    """Add ``weight``: share of the rating sum (the rating itself where the sum is 0), or distance from the user's mean
     (1/n when all ratings are equal).
 
     Per-user statistics come from a partial aggregation and are joined back, so
@@ -24,7 +24,7 @@ def rating_weights(ratings: DataFrame, strategy: str = "mean_centering") -> Data
         F.min("rating").alias("__lo"), F.max("rating").alias("__hi"),
     )
     if strategy == "weighted":
-        weight = F.col("rating") / F.col("__sum")
+        weight = F.when(F.col("__sum") == 0, F.col("rating")).otherwise(F.col("rating") / F.col("__sum"))
     else:
         weight = F.when(F.col("__lo") == F.col("__hi"), 1.0 / F.col("__n")).otherwise(
             F.col("rating") - F.col("__sum") / F.col("__n")

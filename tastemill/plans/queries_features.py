@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..config import TfidfParams
+from ..config import DIRECTOR_COMPONENTS, TAGS_COMPONENTS, TfidfParams
 from ..functions import metadata, text
 from ..operators import features, indexing, matrices, similarity, svd, tfidf
 from ..session import cut_lineage
@@ -175,7 +175,7 @@ def f15_binary_labels(v):
 
 # --- SVD -----------------------------------------------------------------------
 
-SVD_K = 20
+SVD_K = TAGS_COMPONENTS
 
 
 def _doc_svd(v):
@@ -200,7 +200,9 @@ def f17_explained_variance(v):
     return svd.explained_variance(rows, result.projected, n).select(F.round("explained_variance", 4).alias("explained_variance"))
 
 
-@register("f18_component_cap")
+@register("f18_component_cap", with_views(["movies", "links", "metadata"], f"""
+SELECT least({DIRECTOR_COMPONENTS}, (SELECT count(DISTINCT director) FROM links JOIN metadata USING (tmdbId)) - 1) AS components,
+  (SELECT count(*) FROM movies) AS n_items"""))
 def f18_component_cap(v):
     """Director group of the test tables: components are capped by its vocabulary."""
     items = v.movies_raw.join(tables.type_links(v.links_raw), "movieId").join(metadata.flatten(v.metadata_raw), "tmdbId", "left")
@@ -210,8 +212,6 @@ def f18_component_cap(v):
 
 # --- recipes -------------------------------------------------------------------
 
-_COMPONENTS = {"tags": 20, "overview": 20, "director": 10, "cast": 20}
-
 
 def _groups(v: Views) -> FeatureGroups:
     items = _full_items(v)
@@ -222,7 +222,6 @@ def _groups(v: Views) -> FeatureGroups:
         embeddings=v.embeddings.withColumnRenamed("movie_idx", "movieId").join(index, "movieId").select("movie_idx", "features"),
         tags=tables.clean_tags(v.tags_raw),
         genre_vocabulary=VIEW_GENRES,
-        components=_COMPONENTS,
     )
 
 
@@ -237,12 +236,12 @@ _CB_SQL = {
 def _cb_oracle(name: str) -> str | None:
     if name not in _CB_SQL:
         return None
-    return with_views(["movies_pre"], """
+    return with_views(["movies_pre"], f"""
 SELECT movie_idx, rank, neighbour_idx, round(score + 3e-11, 6) + 0.0 AS score FROM
 (SELECT a.movie_idx, b.movie_idx AS neighbour_idx,
    round(CASE WHEN a.n = 0 OR b.n = 0 THEN 0 ELSE list_dot_product(a.v, b.v) / a.n / b.n END, 10) AS score,
    row_number() OVER (PARTITION BY a.movie_idx ORDER BY score DESC, b.movie_idx) AS rank
- FROM vec a JOIN vec b ON a.movie_idx <> b.movie_idx QUALIFY rank <= 10)""", {
+ FROM vec a JOIN vec b ON a.movie_idx <> b.movie_idx QUALIFY rank <= {NEIGHBOURS})""", {
         **_ITEM_CTES, **_EMBED,
         "v0": f"SELECT movie_idx, {_CB_SQL[name]} AS v FROM gen JOIN fg USING (movie_idx) JOIN fy USING (movie_idx) JOIN ev USING (movie_idx)",
         "vec": "SELECT movie_idx, v, sqrt(list_dot_product(v, v)) AS n FROM v0",

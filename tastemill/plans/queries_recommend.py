@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..config import TOP_K
 from ..functions import text
 from ..operators import evaluating, filtering, indexing, metrics, recommending, similarity, splitting
 from ..session import cut_lineage
 from ..sources.driver_views import Views, with_views
 from .registry import register
 
-NEIGHBOURS = 10
+NEIGHBOURS = TOP_K
 # Scores sit on a grid of 1e-10; the nudge keeps them off the halves that two
 # engines round differently.
 NUDGE = 3e-11
@@ -28,8 +29,8 @@ FROM emb a JOIN emb b ON a.movie_idx <> b.movie_idx"""
 _COSINE = "round(list_cosine_similarity(a.v, b.v), 10)"
 _EUCLID = "round(-(list_distance(a.v, b.v) ** 2), 10)"
 _TOPK = {
-    "topk": """SELECT *, row_number() OVER (PARTITION BY movie_idx ORDER BY score DESC, neighbour_idx) AS rank FROM pairs
-      QUALIFY rank <= 10"""
+    "topk": f"""SELECT *, row_number() OVER (PARTITION BY movie_idx ORDER BY score DESC, neighbour_idx) AS rank FROM pairs
+      QUALIFY rank <= {NEIGHBOURS}"""
 }
 
 

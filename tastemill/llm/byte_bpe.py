@@ -5,7 +5,8 @@ list of parts, taken from the left. A three-level bitmap marks the ranks in use:
 each level gives the least rank in three steps, whatever the length of the
 pre-token. Positions whose pair has changed are stale and are skipped when
 they come up. A pre-token of n bytes costs O(n) queue operations, so very long
-ones need no special case. Frequent short pre-tokens are remembered.
+ones need no special case. The new pre-tokens of a group of texts share one
+queue, with one linked list each; short ones are remembered.
 
 Null and empty texts have no ids and decode to nothing.
 """
@@ -15,6 +16,8 @@ from __future__ import annotations
 import base64
 import hashlib
 from array import array
+from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,49 +28,58 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 REMEMBERED = 300_000  # pre-tokens kept per generation and worker
-REMEMBERED_BYTES = 48  # of at most so many bytes
+REMEMBERED_CHARS = 48  # of at most so many characters
+GROUP_CHARS = 4 << 20  # texts looked up together
+MERGE_BYTES = 256 << 10  # bytes of new pre-tokens in one queue; a longer pre-token has its own
 
 
 class Merges:
-    """Merges token ids by rank. ``rank_of`` gives the rank of a pair not seen before, or -1; ``merged[rank]`` the new id."""
+    """Merges the bytes of pre-tokens by rank.
 
-    def __init__(self, ranks: int, rank_of, merged):
-        self.rank_of, self.merged, self.pairs = rank_of, merged, {}
+    ``single`` gives the id of each byte, ``rank_of`` the rank of a pair of ids
+    or -1, ``merged[rank]`` the new id.
+    """
+
+    def __init__(self, ranks: int, single: list[int], rank_of, merged):
+        self.single, self.rank_of, self.merged = np.array(single, np.int64), rank_of, merged
+        self.first = np.array([[rank_of(a, b) for b in single] for a in single], np.int32)
+        self.base = {single[a] << 20 | single[b]: int(self.first[a, b]) for a, b in np.argwhere(self.first >= 0).tolist()}
+        self.pairs = dict(self.base)
         # the lower levels of the bitmap: 64 ranks, and 64 words of those, to a word; a merge leaves them empty
         self.low, self.mid = [0] * (ranks // 64 + 1), [0] * (ranks // 4096 + 1)
 
-    def learn(self, a: int, b: int) -> int:
-        if len(self.pairs) > 4 * REMEMBERED:
-            self.pairs.clear()
-        rank = self.pairs[a << 20 | b] = self.rank_of(a, b)
+    def _learn(self, pair: int) -> int:
+        rank = self.pairs[pair] = self.rank_of(pair >> 20, pair & 0xFFFFF)
         return rank
 
-    def merge(self, ids: list[int]) -> list[int]:
-        """Merge the least rank first, the leftmost of equals, until no pair has a rank."""
-        n = len(ids)
-        if n < 2:
-            return ids
-        low, mid, top, get, learn = self.low, self.mid, 0, self.pairs.get, self.learn
-        ids, after, before = list(ids), list(range(1, n + 1)), list(range(-1, n - 1))
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, none of them empty, one after the other, and the end of each word among them.
+
+        All words share one queue. Their lists are not linked to each other, so
+        within each the least rank goes first, the leftmost of equals, until no
+        pair has a rank.
+        """
+        if len(self.pairs) > 4 * REMEMBERED:
+            self.pairs = dict(self.base)  # between merges only: waiting positions are checked against it
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        n, ends = len(raw), np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after[ends - 1], before[ends[:-1]] = n, -1
+        after, before, ids = after.tolist(), before.tolist(), self.single[raw].tolist()
+        low, mid, top, get, learn = self.low, self.mid, 0, self.pairs.get, self._learn
+
+        first = self.first[raw[:-1], raw[1:]]
+        first[ends[:-1] - 1] = -1
+        order = np.argsort(first, kind="stable")[np.count_nonzero(first < 0):]
+        used, begin = np.unique(first[order], return_index=True)
+        order, begin = order.tolist(), [*begin.tolist(), len(order)]
         buckets: dict[int, list[int]] = {}
-        new = [(k, ids[k], ids[k + 1]) for k in range(n - 1)]
-        while True:
-            for at, a, b in new:  # push
-                rank = get(a << 20 | b)
-                if rank is None:
-                    rank = learn(a, b)
-                if rank < 0:
-                    continue
-                if rank in buckets:
-                    buckets[rank].append(at)
-                    continue
-                buckets[rank] = [at]
-                a, b = rank >> 6, rank >> 12
-                low[a] |= 1 << (rank & 63)
-                mid[b] |= 1 << (a & 63)
-                top |= 1 << b
-            if not top:
-                return [t for t in ids if t >= 0]
+        for k, rank in enumerate(used.tolist()):
+            buckets[rank] = order[begin[k]:begin[k + 1]]
+            low[rank >> 6] |= 1 << (rank & 63)
+            mid[rank >> 12] |= 1 << (rank >> 6 & 63)
+            top |= 1 << (rank >> 12)
+        while top:
             b = (top & -top).bit_length() - 1  # find-first-set, level by level
             word = mid[b]
             a = b << 6 | (word & -word).bit_length() - 1
@@ -91,56 +103,114 @@ class Merges:
                 beyond = after[at] = after[right]
                 if beyond < n:
                     before[beyond] = at
-                    new.append((at, token, ids[beyond]))
+                    new.append((at, token << 20 | ids[beyond]))
                 left = before[at]
                 if left >= 0:
-                    new.append((left, ids[left], token))
-
-
-class Remembered(dict):
+                    new.append((left, ids[left] << 20 | token))
+            for at, pair in new:  # push
+                rank = get(pair)
+                if rank is None:
+                    rank = learn(pair)
+                if rank < 0:
+                    continue
+                if rank in buckets:
+                    buckets[rank].append(at)
+                    continue
+                buckets[rank] = [at]
+                a, b = rank >> 6, rank >> 12
+                low[a] |= 1 << (rank & 63)
+                mid[b] |= 1 << (a & 63)
+                top |= 1 << b
+        ids = np.array(ids, np.int64)
+        left = ids >= 0
+        return ids[left], np.cumsum(left)[ends - 1]
+
+    def results(self, tokens: list[str], result) -> list:
+        """``result(ids, ends)`` of all tokens, a list, by queues of about MERGE_BYTES."""
+        out, words, size = [], [], 0
+        for token in tokens:
+            words.append(token.encode())
+            size += len(words[-1])
+            if size >= MERGE_BYTES:
+                out += result(*self.merge(words))
+                words, size = [], 0
+        return out + result(*self.merge(words)) if words else out
+
+
+class Remembered:
     """Results by pre-token in two generations, so that frequent ones stay: a full one replaces the older."""
 
-    def __init__(self):
-        super().__init__()
+    def __init__(self, pattern: str, work):
+        self.pattern, self.work = regex.compile(pattern), work
+        self.now: dict = {}
         self.older: dict = {}
 
-    def keep(self, token: str, value) -> None:
-        if len(self) >= REMEMBERED:
-            self.older = dict(self)
-            self.clear()
-        self[token] = value
-
-
-class Encoder(Remembered):
-    """Pre-token -> packed ids; as a dict it remembers the short ones."""
+    def _pieces(self, text: str):
+        """Pre-tokens in lists; long texts are cut between pre-tokens, as they are found."""
+        if len(text) <= GROUP_CHARS:
+            yield self.pattern.findall(text)
+            return
+        found = (m.group() for m in self.pattern.finditer(text))
+        while piece := list(islice(found, GROUP_CHARS // 16)):
+            yield piece
+
+    def look_up(self, texts) -> Iterator[tuple[bool, Iterator]]:
+        """For each text, in pieces: whether this is its last piece, and the results of the pre-tokens there."""
+        held, size = [], 0
+        for text in texts:
+            for piece in self._pieces(text):
+                held.append((False, piece))
+                size += len(piece)
+                if size >= GROUP_CHARS // 16:
+                    yield from self._answer(held)
+                    held, size = [], 0
+            held.append((True, []))
+        yield from self._answer(held)
+
+    def _answer(self, held):
+        if len(self.now) >= REMEMBERED:
+            self.older, self.now = self.now, {}
+        new = set().union(*(piece for _, piece in held)).difference(self.now)
+        again = new.intersection(self.older)
+        self.now.update((t, self.older[t]) for t in again)
+        new = list(new - again)
+        self.now.update(zip(new, self.work(new)))
+        for last, piece in held:
+            yield last, map(self.now.__getitem__, piece)
+        for token in new:
+            if len(token) > REMEMBERED_CHARS:
+                del self.now[token]
+
+
+class Encoder:
+    """Texts to ids and back."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        super().__init__()
-        self.split = regex.compile(pattern).findall
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         of, size = self.bytes_of, max(ranks.values()) + 1
-
-        def rank_of(a: int, b: int):
-            return ranks.get(of[a] + of[b], -1)
-
-        self.single = [ranks[bytes([b])] for b in range(256)]
-        self.ranks, self.merges = ranks, Merges(size, rank_of, range(size))
-
-    def __missing__(self, token: str) -> bytes:
-        packed = self.older.get(token)
-        if packed is not None:
-            self.keep(token, packed)
-            return packed
-        raw = token.encode()
-        whole = self.ranks.get(raw)
-        ids = [whole] if whole is not None else self.merges.merge([self.single[b] for b in raw])
-        packed = array("I", ids).tobytes()
-        if len(raw) <= REMEMBERED_BYTES:
-            self.keep(token, packed)
-        return packed
-
-    def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.__getitem__, self.split(text))), np.uint32)
+        self.ranks = ranks
+        self.merges = Merges(size, [ranks[bytes([b])] for b in range(256)], lambda a, b: ranks.get(of[a] + of[b], -1), range(size))
+        self.memory = Remembered(pattern, self._packed)
+
+    def _packed(self, tokens: list[str]) -> list[bytes]:
+        """Packed ids of each pre-token: a whole token has its own, the rest is merged."""
+        whole = [self.ranks.get(t.encode()) for t in tokens]
+        rest = iter(self.merges.results([t for t, rank in zip(tokens, whole) if rank is None], self._cut))
+        return [next(rest) if rank is None else array("I", (rank,)).tobytes() for rank in whole]
+
+    @staticmethod
+    def _cut(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        packed, ends = ids.astype(np.uint32).tobytes(), (ends * 4).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends], ends)]
+
+    def encode(self, texts) -> Iterator[np.ndarray]:
+        """Ids of each text."""
+        parts = []
+        for last, packed in self.memory.look_up(texts):
+            parts.append(b"".join(packed))
+            if last:
+                yield np.frombuffer(b"".join(parts), np.uint32)
+                parts = []
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
@@ -176,7 +246,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches):
         encoder = worker_encoder(name, pattern)
         for batch in batches:
-            ids = [encoder.encode(t or "").astype(np.int32) for t in batch.column("text").to_pylist()]
+            ids = [i.astype(np.int32) for i in encoder.encode(t.as_py() or "" for t in batch.column("text"))]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in out), pa.array(ids, pa.list_(pa.int32()))], names=[*out, "token_ids"])
 
     schema = docs.select(*out).schema.add("token_ids", T.ArrayType(T.IntegerType()))
@@ -207,8 +277,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         encoder = worker_encoder(name, pattern)
         for batch in batches:
             counts, digests, decoded = [], [], []
-            for text in batch.column("text"):
-                ids = encoder.encode(text.as_py() or "")
+            for ids in encoder.encode(t.as_py() or "" for t in batch.column("text")):
                 counts.append(len(ids))
                 digests.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
                 decoded.append(hashlib.sha256(encoder.decode(ids)).hexdigest())

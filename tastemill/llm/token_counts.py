@@ -13,14 +13,16 @@ Null and empty texts have no tokens.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .byte_bpe import REMEMBERED, REMEMBERED_BYTES, Merges, Remembered, send_file
+from .byte_bpe import Merges, Remembered, send_file
 
 LIMIT = 512
 
@@ -35,53 +37,61 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(c): b for c, b in [*zip(plain, plain), *zip(range(256, 256 + len(rest)), rest)]}
 
 
-class Counter(Remembered):
-    """Pre-token -> number of tokens; proven whole tokens are there from the start."""
+class Counter:
+    """Number of tokens of texts; pre-tokens proven to be whole tokens are never merged."""
 
     def __init__(self, model: dict):
-        super().__init__()
         alphabet = byte_alphabet()
         vocab = model["model"]["vocab"]
         raw = {t: bytes(alphabet[c] for c in t) for t in vocab}
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["model"]["merges"]]
         ranks = {(vocab[a], vocab[b]): rank for rank, (a, b) in enumerate(pairs)}
-        self.single = [0] * 256
+        single = [0] * 256
         for char, byte in alphabet.items():
-            self.single[byte] = vocab[char]
-        self.merges = Merges(len(pairs), lambda a, b: ranks.get((a, b), -1), [vocab[a + b] for a, b in pairs])
-        self.split = regex.compile(PATTERN).findall
+            single[byte] = vocab[char]
+        self.merges = Merges(len(pairs), single, lambda a, b: ranks.get((a, b), -1), [vocab[a + b] for a, b in pairs])
+        self.memory = Remembered(PATTERN, self._counts)
         special = [t["content"] for t in model.get("added_tokens", [])]
         self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
-        self.proven = dict.fromkeys(self._prove(raw), 1)
+        self.proven = frozenset(self._prove(raw))
 
     def _prove(self, raw: dict[str, bytes]) -> list[str]:
         """Vocabulary strings that are one pre-token and one token alone."""
-        proven = []
+        alone = []
         for token in raw.values():
             try:
                 text = token.decode()
             except UnicodeDecodeError:
                 continue  # part of a character, never a pre-token
-            if self.split(text) == [text] and len(self.merges.merge([self.single[b] for b in token])) == 1:
-                proven.append(text)
-        return proven
-
-    def __missing__(self, token: str) -> int:
-        n = self.proven.get(token) or self.older.get(token)
-        if n:
-            self.keep(token, n)
-            return n
-        raw = token.encode()
-        n = len(self.merges.merge([self.single[b] for b in raw]))
-        if len(raw) <= REMEMBERED_BYTES:
-            self.keep(token, n)
-        return n
-
-    def count(self, text: str) -> int:
-        if self.special is None or not self.special.search(text):
-            return sum(map(self.__getitem__, self.split(text)))
-        parts = self.special.split(text)
-        return len(parts) - 1 + sum(sum(map(self.__getitem__, self.split(p))) for p in parts)
+            if self.memory.pattern.findall(text) == [text]:
+                alone.append(text)
+        return [text for text, n in zip(alone, self.merges.results(alone, self._lengths)) if n == 1]
+
+    @staticmethod
+    def _lengths(ids: np.ndarray, ends: np.ndarray) -> list[int]:
+        return np.diff(ends, prepend=0).tolist()
+
+    def _counts(self, tokens: list[str]) -> list[int]:
+        rest = iter(self.merges.results([t for t in tokens if t not in self.proven], self._lengths))
+        return [1 if t in self.proven else next(rest) for t in tokens]
+
+    def _parts(self, texts, specials: list[int]) -> Iterator[str]:
+        """Texts cut at special strings, whose number per text is appended to ``specials`` first."""
+        for text in texts:
+            parts = self.special.split(text) if self.special else [text]
+            specials.append(len(parts) - 1)
+            yield from parts
+
+    def count(self, texts) -> Iterator[int]:
+        """Number of tokens of each text."""
+        specials: list[int] = []
+        n = parts = at = 0
+        for last, counts in self.memory.look_up(self._parts(texts, specials)):
+            n += sum(counts)
+            parts += last
+            if last and parts > specials[at]:
+                yield n + specials[at]
+                n, parts, at = 0, 0, at + 1
 
 
 _counters: dict[str, Counter] = {}
@@ -102,7 +112,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     def run(batches):
         counter = worker_counter(name)
         for batch in batches:
-            counts = [counter.count(t.as_py() or "") for t in batch.column("text")]
+            counts = list(counter.count(t.as_py() or "" for t in batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(counts, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))

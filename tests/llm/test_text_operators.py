@@ -206,8 +206,8 @@ def test_byte_bpe(docs, empty):
     library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     encoder = byte_bpe.Encoder(ranks, pattern)
     odd = ["a" * 5000, "ab" * 3000, " " * 900, "<|endoftext|>", "".join(map(chr, range(0x20, 0x2000)))]
-    for text in [t or "" for _, t in corpus()] + odd:
-        ids = encoder.encode(text)
+    texts = [t or "" for _, t in corpus()] + odd
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
         assert ids.tolist() == library.encode_ordinary(text) and encoder.decode(ids) == text.encode()
     expected = collections.Counter()
     for doc, text in corpus():
@@ -232,8 +232,22 @@ def test_token_counts(docs, empty):
 
     with open(path, encoding="utf-8") as file:
         counter = token_counts.Counter(json.load(file))
-    for text in ("a<|endoftext|>b", "<|endoftext|><|endoftext|>", "<|endof", "x" * 3000):
-        assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids)
+    texts = ["a<|endoftext|>b", "<|endoftext|><|endoftext|>", "", "<|endof", "x" * 3000]
+    assert list(counter.count(texts)) == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+def test_bpe_limits_of_groups_and_memory_change_no_result(monkeypatch):
+    tiktoken = pytest.importorskip("tiktoken")
+    pattern = tokenizers_files.PATTERN
+    ranks = byte_bpe.read_ranks(tokenizers_files.path("byte_bpe_multi_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    rnd = random.Random(8)
+    texts = [" ".join("".join(rnd.choice("aeiorntéß日") for _ in range(rnd.randrange(1, 60))) for _ in range(rnd.randrange(0, 80))) for _ in range(60)]
+    for name, value in (("REMEMBERED", 40), ("REMEMBERED_CHARS", 8), ("GROUP_CHARS", 320), ("MERGE_BYTES", 64)):
+        monkeypatch.setattr(byte_bpe, name, value)
+    encoder = byte_bpe.Encoder(ranks, pattern)
+    assert [i.tolist() for i in encoder.encode(texts)] == [library.encode_ordinary(t) for t in texts]
+    assert list(encoder.encode([])) == []
 
 
 def test_line_counts():

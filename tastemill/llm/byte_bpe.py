@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-REMEMBERED = 300_000  # pre-tokens kept per generation and worker
+REMEMBERED = 150_000  # pre-tokens kept per generation; a worker keeps one generation between tasks
 REMEMBERED_CHARS = 48  # of at most so many characters
 GROUP_CHARS = 4 << 20  # texts looked up together
 MERGE_BYTES = 256 << 10  # bytes of new pre-tokens in one queue; a longer pre-token has its own
@@ -59,7 +59,7 @@ class Merges:
         within each the least rank goes first, the leftmost of equals, until no
         pair has a rank.
         """
-        if len(self.pairs) > 4 * REMEMBERED:
+        if len(self.pairs) > 8 * REMEMBERED:
             self.pairs = dict(self.base)  # between merges only: waiting positions are checked against it
         raw = np.frombuffer(b"".join(words), np.uint8)
         n, ends = len(raw), np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
@@ -167,6 +167,10 @@ class Remembered:
             held.append((True, []))
         yield from self._answer(held)
 
+    def rest(self) -> None:
+        """At the end of a task: leave memory to the other stages that this worker runs."""
+        self.older = {}
+
     def _answer(self, held):
         if len(self.now) >= REMEMBERED:
             self.older, self.now = self.now, {}
@@ -248,6 +252,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for batch in batches:
             ids = [i.astype(np.int32) for i in encoder.encode(t.as_py() or "" for t in batch.column("text"))]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in out), pa.array(ids, pa.list_(pa.int32()))], names=[*out, "token_ids"])
+        encoder.memory.rest()
 
     schema = docs.select(*out).schema.add("token_ids", T.ArrayType(T.IntegerType()))
     return docs.mapInArrow(run, schema)
@@ -283,5 +288,6 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 decoded.append(hashlib.sha256(encoder.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(digests), pa.array(decoded)],
                                              names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        encoder.memory.rest()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

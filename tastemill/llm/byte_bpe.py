@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 REMEMBERED = 150_000  # pre-tokens kept per generation; a worker keeps one generation between tasks
+LEARNT = 500_000  # pairs whose rank, or lack of one, is kept
 REMEMBERED_CHARS = 48  # of at most so many characters
 GROUP_CHARS = 4 << 20  # texts looked up together
 MERGE_BYTES = 256 << 10  # bytes of new pre-tokens in one queue; a longer pre-token has its own
@@ -48,6 +49,10 @@ class Merges:
         # the lower levels of the bitmap: 64 ranks, and 64 words of those, to a word; a merge leaves them empty
         self.low, self.mid = [0] * (ranks // 64 + 1), [0] * (ranks // 4096 + 1)
 
+    def forget(self) -> None:
+        """Drop learnt pairs; between merges only, since waiting positions are checked against them."""
+        self.pairs = dict(self.base)
+
     def _learn(self, pair: int) -> int:
         rank = self.pairs[pair] = self.rank_of(pair >> 20, pair & 0xFFFFF)
         return rank
@@ -59,8 +64,8 @@ class Merges:
         within each the least rank goes first, the leftmost of equals, until no
         pair has a rank.
         """
-        if len(self.pairs) > 8 * REMEMBERED:
-            self.pairs = dict(self.base)  # between merges only: waiting positions are checked against it
+        if len(self.pairs) > LEARNT:
+            self.forget()
         raw = np.frombuffer(b"".join(words), np.uint8)
         n, ends = len(raw), np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
         after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
@@ -253,6 +258,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             ids = [i.astype(np.int32) for i in encoder.encode(t.as_py() or "" for t in batch.column("text"))]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in out), pa.array(ids, pa.list_(pa.int32()))], names=[*out, "token_ids"])
         encoder.memory.rest()
+        encoder.merges.forget()
 
     schema = docs.select(*out).schema.add("token_ids", T.ArrayType(T.IntegerType()))
     return docs.mapInArrow(run, schema)
@@ -289,5 +295,6 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(digests), pa.array(decoded)],
                                              names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
         encoder.memory.rest()
+        encoder.merges.forget()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

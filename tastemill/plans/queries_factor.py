@@ -11,14 +11,6 @@ from ..sources.driver_views import Views, with_views
 from .queries_prepare import split
 from .registry import register
 
-# Small settings: the test tables have 1e3 to 1e4 users.
-_SMALL = {
-    "svd": {"n_factors": 10, "n_epochs": 5, "reg": 0.1},
-    "svdpp": {"n_factors": 5, "n_epochs": 3},
-    "nmf": {"n_factors": 5, "n_epochs": 5},
-}
-
-
 def _ratings(v: Views):
     s = split(v).select(F.col("userId").alias("user_id"), F.col("movieId").alias("movie_id"), "rating", "split")
     return cut_lineage(s)
@@ -89,7 +81,7 @@ def t18_clip(v):
 
 def _fitted(v, algorithm):
     r = _ratings(v)
-    return r, factor_models.FactorModel(algorithm, _SMALL[algorithm]).fit(splitting.select_split(r, "train"))
+    return r, factor_models.FactorModel(algorithm).fit(splitting.select_split(r, "train"))
 
 
 def _predict_query(algorithm):
@@ -104,12 +96,18 @@ register("c1_svd_predict")(_predict_query("svd"))
 register("c2_svdpp_predict")(_predict_query("svdpp"))
 
 
-@register("c3_nmf_factors")
+@register("c3_nmf_factors", with_views(["split"], f"""
+SELECT kind, id, {factor_models.ALGORITHMS["nmf"]["n_factors"]} AS n_factors, true AS non_negative, true AS informative FROM (
+  SELECT DISTINCT 'user' AS kind, userId AS id FROM tr UNION ALL SELECT DISTINCT 'item', movieId FROM tr)""", _BIAS))
 def c3_nmf_factors(v):
+    """Every training user and item has a vector of full length, without negative values and not all zero."""
     _, model = _fitted(v, "nmf")
-    low = F.array_min("factors").alias("smallest")
-    return model.users.select(F.lit("user").alias("kind"), F.col("user_id").alias("id"), low).unionByName(
-        model.items.select(F.lit("item").alias("kind"), F.col("movie_id").alias("id"), low)
+    vectors = model.users.select(F.lit("user").alias("kind"), F.col("user_id").alias("id"), "factors").unionByName(
+        model.items.select(F.lit("item").alias("kind"), F.col("movie_id").alias("id"), "factors")
+    )
+    return vectors.select(
+        "kind", "id", F.size("factors").alias("n_factors"), (F.array_min("factors") >= 0).alias("non_negative"),
+        (F.array_max("factors") > 0).alias("informative"),
     )
 
 
@@ -122,5 +120,5 @@ def c5_cf_topn(v):
 @register("e7_cf_evaluation")
 def e7_cf_evaluation(v):
     r = _ratings(v)
-    models, _ = factor_evaluating.fit_factor_models(r, ["svd", "nmf"], _SMALL)
+    models, _ = factor_evaluating.fit_factor_models(r, list(factor_models.ALGORITHMS))
     return factor_evaluating.report(list(models.values()), r, v.movies_raw.withColumnRenamed("movieId", "movie_id"))

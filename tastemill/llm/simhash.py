@@ -223,12 +223,17 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """One row of each component, in the columns of docs: the row of its smallest doc_id.
+    """One row of each component, in the columns of docs: see keep_first."""
+    return keep_first(docs, lambda rows: near_duplicates(rows, words))
+
+
+def keep_first(docs: DataFrame, near) -> DataFrame:
+    """One row of each component of ``near(docs)`` (doc_id, component_id), in the columns of docs: the row of its smallest doc_id.
 
     Rows that repeat this doc_id are copies, of which the least row stays. A row
     with a null doc_id stays.
     """
-    found = near_duplicates(docs.where("doc_id IS NOT NULL"), words)
+    found = near(docs.where("doc_id IS NOT NULL"))
     ids = cut_lineage(found.groupBy(F.col("doc_id").alias("_id")).agg(
         (F.col("_id") == F.min("component_id")).alias("_first"), F.count("*").alias("_n")).where("NOT _first OR _n > 1"))
     kept = docs.join(ids, F.col("doc_id") == F.col("_id"), "left_anti")

@@ -1,0 +1,84 @@
+"""The near-duplicate stage of the pipeline against brute force over five-word shingles."""
+
+import random
+
+import pytest
+
+from tastemill.llm import shingle_sets, simhash
+
+pytest.importorskip("public_tokenizers")
+
+
+def plain_set(text):
+    words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").split()
+    return {" ".join(words[k:k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def graded():
+    """Texts in families of edited copies, of similarities on both sides of 0.8."""
+    rnd = random.Random(3)
+    vocabulary = [f"w{k}" for k in range(500)]
+    rows, doc = [], 0
+    for family in range(30):
+        base = [rnd.choice(vocabulary) for _ in range(rnd.randrange(40, 300))]
+        for _ in range(6):
+            words = list(base)
+            for _ in range(rnd.randrange(0, 1 + len(base) // 30)):
+                words[rnd.randrange(len(words))] = "edited"
+            rows.append((doc, " ".join(words)))
+            doc += 1
+    line = " ".join(rnd.choice(vocabulary) for _ in range(60))
+    rows += [(doc + k, line + " " + " ".join(rnd.choice(vocabulary) for _ in range(rnd.randrange(20, 60)))) for k in range(80)]
+    doc += 80
+    rows += [(doc, None), (doc + 1, "  \n"), (doc + 2, "One two"), (doc + 3, "one TWO"), (doc + 4, "one two three"), (0, "a repeated id")]
+    rnd.shuffle(rows)
+    return rows
+
+
+def brute_force(rows):
+    sets = [plain_set(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            same = len(a & sets[j])
+            if a == sets[j] or same and same >= 0.8 * (len(a) + len(sets[j]) - same):
+                root[find(i)] = find(j)
+    least = {}
+    for k, (doc, _) in enumerate(rows):
+        least[find(k)] = min(doc, least.get(find(k), doc))
+    return sorted((doc, least[find(k)]) for k, (doc, _) in enumerate(rows))
+
+
+@pytest.mark.parametrize("bucket_rows", [4096, 8])
+def test_components_match_brute_force(spark, monkeypatch, bucket_rows):
+    monkeypatch.setattr(shingle_sets, "BUCKET_ROWS", bucket_rows)
+    rows = graded()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = shingle_sets.near_copies(docs).select("doc_id", "component_id").collect()
+    expected = brute_force(rows)
+    assert sorted(map(tuple, found)) == expected
+    assert 100 < len({c for _, c in expected}) < len(rows) - 40
+    assert shingle_sets.near_copies(docs.limit(0)).count() == 0
+
+
+def test_stage_drops_copies_that_differ_in_more_bits(spark):
+    import corpus_pipeline
+
+    rnd = random.Random(8)
+    rows = []
+    for k in range(0, 40, 2):
+        words = [f"w{rnd.randrange(5000)}" for _ in range(200)]
+        edited = list(words)
+        for at in (30, 90, 150):  # 15 of 196 shingles: similarity 0.858
+            edited[at] = "edited"
+        rows += [(k, " ".join(words)), (k + 1, " ".join(edited))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect())
+    assert kept == list(range(0, 40, 2))
+    assert simhash.drop_near_duplicates(docs).count() > 20  # op7's three bits are another contract

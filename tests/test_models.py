@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -230,3 +231,32 @@ def test_factor_report(spark, world):
     items = world.select("movie_id").distinct()
     row = factor_evaluating.report(list(models.values()), world, items, ks=[5]).first()
     assert row["model"] == "CF_SVD" and row["n_users"] > 0 and 0 < row["rmse"] < 2 and 0 <= row["ndcg@5"] <= 1
+
+
+def test_svdpp_steps_implicit_factors_after_every_batch():
+    rng = np.random.default_rng(4)
+    n, width, mean, lr, reg = 300, 3, 3.5, 0.02, 0.1
+    items, user, rating = rng.normal(0, 0.3, (n, 1 + 2 * width)), rng.normal(0, 0.3, 1 + width), rng.uniform(1, 5, n)
+    none = [None] * n
+    stream = pa.RecordBatch.from_pydict({
+        "tile": [0] * (2 * n + 1), "side": [0] * n + [1] * (n + 1), "key": [0] * n + [7] * (n + 1), "item": [*range(n), -(2**62), *range(n)],
+        "vec": [*items.tolist(), user.tolist(), *none], "weight": [*none, None, *rating],
+    })
+    out = pa.Table.from_batches(list(factor_models._epoch_kernel(mean, width, lr, reg)([stream]))).to_pydict()
+    got = {(kind, key): np.array(vec) for kind, key, vec in zip(out["kind"], out["key"], out["vec"])}
+
+    bi, q, y = items[:, 0].copy(), items[:, 1 : 1 + width].copy(), items[:, 1 + width :].copy()
+    bu, p, scale = user[0], user[1:].copy(), 1 / math.sqrt(n)
+    for lo in range(0, n, factor_models._MINI_BATCH):
+        at = slice(lo, lo + factor_models._MINI_BATCH)
+        whole = p + y.sum(axis=0) * scale
+        err = rating[at] - (mean + bu + bi[at] + q[at] @ whole)
+        pull, m = err @ q[at], len(err)
+        bu += lr * (err.sum() - reg * bu * m)
+        bi[at] += lr * (err - reg * bi[at])
+        q[at] += lr * (err[:, None] * whole - reg * q[at])
+        p += lr * (pull - reg * p * m)
+        y = y * (1 - lr * reg) ** m + lr * scale * pull
+    np.testing.assert_allclose(got[1, 7], [bu, *p], rtol=1e-9)
+    moved = np.array([got[0, k] for k in range(n)])
+    np.testing.assert_allclose(moved[:, :-1], np.hstack([bi[:, None], q, y]) - items, rtol=1e-7, atol=1e-12)

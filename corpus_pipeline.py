@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tastemill.llm import byte_bpe, decontaminate, pii, quality, shingle_sets, simhash
+from tastemill.llm import byte_bpe, decontaminate, pii, quality, simhash
 from tastemill.session import apply_sql_defaults, cut_lineage
 
 
@@ -20,8 +20,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of five-word similarity 0.8, that of the smallest doc_id."""
-    return simhash.keep_first(docs, shingle_sets.near_copies)
+    """One document of each group of fingerprints linked by 3 or fewer bits, that of the smallest doc_id."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

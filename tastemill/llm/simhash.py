@@ -22,7 +22,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -211,34 +211,52 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     return parts.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(_links, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (signed) and component_id, the smallest doc_id reachable over links of MAX_BITS or fewer bits."""
+def grouped(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
+    """doc_id, fp (signed), root (a fingerprint of the component) and component_id of every row."""
     rows = cut_lineage(fingerprints(docs, words))
     nodes = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = components(fingerprint_links(nodes))
     rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    of = rooted.join(least, "root").select("fp", "component_id")
-    return rows.join(of, "fp").select("doc_id", "fp", "component_id")
+    of = rooted.join(least, "root").select("fp", "root", "component_id")
+    return rows.join(of, "fp").select("doc_id", "fp", "root", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """One row of each component, in the columns of docs: see keep_first."""
-    return keep_first(docs, lambda rows: near_duplicates(rows, words))
+def near_duplicates(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
+    """doc_id, fp (signed) and component_id, the smallest doc_id reachable over links of MAX_BITS or fewer bits."""
+    return grouped(docs, words).select("doc_id", "fp", "component_id")
+
 
+def _fingerprinted(docs: DataFrame, words: int, name: str) -> DataFrame:
+    """Whole rows with their fingerprint in column ``name``."""
+    schema = docs.select("*", F.lit(0).cast("long").alias(name)).schema
 
-def keep_first(docs: DataFrame, near) -> DataFrame:
-    """One row of each component of ``near(docs)`` (doc_id, component_id), in the columns of docs: the row of its smallest doc_id.
+    def run(batches):
+        for batch in batches:
+            values = [fingerprint(t.as_py(), words) for t in batch.column("text").cast(pa.large_binary())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.int64())], names=[*batch.schema.names, name])
+
+    return docs.mapInArrow(run, schema)
+
+
+def drop_near_duplicates(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
+    """One row of each component, in the columns of docs: that of the smallest doc_id (then of the least fingerprint).
 
-    Rows that repeat this doc_id are copies, of which the least row stays. A row
-    with a null doc_id stays.
+    Rows of one doc_id with texts that are not near stay, each as its own
+    component; of repeated rows one stays. A row with a null doc_id stays.
     """
-    found = near(docs.where("doc_id IS NOT NULL"))
+    found = cut_lineage(grouped(docs.where("doc_id IS NOT NULL"), words))
+    first = found.groupBy("root").agg(F.min(F.struct("doc_id", "fp")).alias("first")).select("first.*")
     ids = cut_lineage(found.groupBy(F.col("doc_id").alias("_id")).agg(
         (F.col("_id") == F.min("component_id")).alias("_first"), F.count("*").alias("_n")).where("NOT _first OR _n > 1"))
     kept = docs.join(ids, F.col("doc_id") == F.col("_id"), "left_anti")
-    twice = ids.where("_first")
+    twice = ids.where("_n > 1")
     if twice.isEmpty():
         return kept
-    copies = docs.join(twice, F.col("doc_id") == F.col("_id"), "left_semi")
-    return kept.union(copies.groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("_row")).select([F.col("_row")[c].alias(c) for c in docs.columns]))
+    name = "_fp" + "_" * max(map(len, docs.columns))
+    rows = _fingerprinted(docs.join(twice, F.col("doc_id") == F.col("_id"), "left_semi"), words, name)
+    rows = rows.join(first.toDF("_id", "_of"), (F.col("doc_id") == F.col("_id")) & (F.col(name) == F.col("_of")), "left_semi")
+    order = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    at = Window.partitionBy("doc_id", name).orderBy(*(F.col(c) for c in order))
+    again = rows.withColumn(name + "_", F.row_number().over(at)).where(F.col(name + "_") == 1)
+    return kept.union(again.select(*docs.columns))

@@ -326,6 +326,17 @@ def test_personal_data(spark, docs, empty):
     assert pii.redact_documents(docs).columns == docs.columns and pii.find_personal_data(empty).count() == 0
 
 
+def test_drop_keeps_other_texts_of_one_id(spark):
+    """A doc_id with two texts is two documents here, each judged by its own fingerprint."""
+    far = " ".join(f"other{k}" for k in range(40))
+    near = " ".join(f"w{k}" for k in range(60))
+    rows = [(5, near, {"a": 1}), (5, far, {"a": 2}), (5, near, {"a": 1}), (7, far, None), (9, "third text of its own", None), (None, near, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, found map<string,int>")
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert collections.Counter((r.doc_id, r.text) for r in kept.collect()) == collections.Counter([(5, near), (5, far), (9, "third text of its own"), (None, near)])
+
+
 def test_stable_under_partitioning(docs):
     other = docs.repartition(7, F.col("n_chars"))
     assert collected(simhash.near_duplicates(docs)) == collected(simhash.near_duplicates(other))

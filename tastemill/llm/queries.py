@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import apply_sql_defaults, ensure_checkpoint_dir
-from . import byte_bpe, decontaminate, html_templates, line_crf, pii, quality, simhash, super_kmers, token_counts, warc
+from . import byte_bpe, decontaminate, html_templates, line_crf, merkle, pii, quality, simhash, super_kmers, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -143,3 +143,55 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    later = merkle.leaf([F.col(c) + 1 if c == "n_chars" else F.col(c) for c in merkle.FIELDS])
+    found = merkle.verify(merkle.prove(merkle.manifest(docs, claimed=F.when(tampered, later))))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+# Unsigned CRC-32 of a decimal number: the table by eight steps per byte, then one look-up per digit.
+_CRC_TABLE = """crc AS (SELECT list(list_reduce(list_prepend(k, range(8)), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY k) AS tab
+  FROM (SELECT unnest(range(256)) AS k))"""
+
+
+def _crc(of: str) -> str:
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST({of} AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)), "
+            "lambda c, x: xor(c >> 8, tab[1 + (xor(c, x) & 255)])), 4294967295)")
+
+
+def _level(up: int, by: str, source: str) -> str:
+    """One level of all trees: pairs of neighbours, roots unchanged."""
+    return (f"SELECT {by}, i // 2 AS i, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE any_value(h) END AS h, "
+            f"(any_value(n) + 1) // 2 AS n FROM {source} GROUP BY {by}, i // 2")
+
+
+def _merkle_sql(levels: int = 20, top: int = 6) -> str:
+    """Trees level by level, up to 2 ** levels rows a language and 2 ** top languages, then each row's way up."""
+    def coded(c: str, value: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({value}) || ':' || {value} END"
+
+    def hashed(n_chars: str) -> str:
+        fields = [(c, f"CAST({n_chars if c == 'n_chars' else c} AS VARCHAR)") for c in merkle.FIELDS]
+        return f"sha256({' || '.join(coded(*f) for f in fields)})"
+
+    parts = [_CRC_TABLE, f"""d AS (SELECT doc_id, lang, {hashed('n_chars')} AS h, CASE WHEN {_crc('doc_id')} % 7 = 0 THEN {hashed('n_chars + 1')} ELSE {hashed('n_chars')} END AS f FROM documents, crc)""",
+             "t0 AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM d)"]
+    parts += [f"t{k + 1} AS ({_level(k, 'lang', f't{k}')})" for k in range(levels)]
+    parts.append(f"s0 AS (SELECT lang, 0 AS one, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM t{levels})")
+    parts += [f"s{k + 1} AS ({_level(k, 'one', f's{k}')})" for k in range(top)]
+    parts.append("w0 AS (SELECT doc_id, lang, i, h AS leaf, f, '' AS sib FROM t0)")
+    step = ("SELECT w.* REPLACE (w.i // 2 AS i, w.sib || coalesce(b.h, '') AS sib, CASE WHEN {n} = 1 THEN w.f WHEN b.h IS NULL THEN sha256(w.f) "
+            "WHEN w.i % 2 = 0 THEN sha256(w.f || b.h) ELSE sha256(b.h || w.f) END AS f) FROM {w} w JOIN {t} a ON {key} AND a.i = w.i LEFT JOIN {t} b ON {keyb} AND b.i = xor(w.i, 1)")
+    parts += [f"w{k + 1} AS ({step.format(n='a.n', w=f'w{k}', t=f't{k}', key='a.lang IS NOT DISTINCT FROM w.lang', keyb='b.lang IS NOT DISTINCT FROM w.lang')})" for k in range(levels)]
+    parts.append(f"v0 AS (SELECT w.* REPLACE (s0.i AS i), s0.h AS subroot FROM w{levels} w JOIN s0 ON s0.lang IS NOT DISTINCT FROM w.lang)")
+    parts += [f"v{k + 1} AS ({step.format(n='a.n', w=f'v{k}', t=f's{k}', key='true', keyb='true')})" for k in range(top)]
+    return f"""WITH {', '.join(parts)}
+SELECT doc_id, leaf, subroot, r.h AS root, sha256(sib) AS proof_sha256, f AS folded_root, f = r.h AS verified FROM v{top} JOIN s{top} r ON true"""
+
+
+ORACLES["op13_merkle"] = _merkle_sql()

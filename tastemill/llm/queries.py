@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import apply_sql_defaults, ensure_checkpoint_dir
-from . import byte_bpe, decontaminate, html_templates, line_crf, merkle, pii, quality, simhash, super_kmers, token_counts, warc
+from . import byte_bpe, decontaminate, html_templates, line_crf, merkle, minhash, pii, quality, simhash, super_kmers, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -145,6 +145,24 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_minhash"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORDS}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g FROM (SELECT *, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS same FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * same >= 80 * (a.n + b.n - same)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y),
+c AS (SELECT x AS doc_id, min(y) AS least FROM r GROUP BY x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(least, doc_id)) AS component_id, doc_id <= coalesce(least, doc_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)"""
+
+
 @_query
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")

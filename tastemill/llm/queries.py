@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import apply_sql_defaults, ensure_checkpoint_dir
-from . import byte_bpe, decontaminate, html_templates, line_crf, merkle, minhash, pii, quality, simhash, super_kmers, token_counts, warc
+from . import byte_bpe, decontaminate, html_templates, line_crf, merkle, minhash, pii, quality, simhash, super_kmers, token_counts, warc, word_runs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -145,6 +145,65 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(_table(spark, sf_dir, "documents"))
 
 
+# Unsigned CRC-32 of a decimal number: the table by eight steps per byte, then one look-up per digit.
+_CRC_TABLE = """crc AS (SELECT list(list_reduce(list_prepend(k, range(8)), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY k) AS tab
+  FROM (SELECT unnest(range(256)) AS k))"""
+
+
+def _crc(of: str) -> str:
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST({of} AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)), "
+            "lambda c, x: xor(c >> 8, tab[1 + (xor(c, x) & 255)])), 4294967295)")
+
+
+def _repeated_tails(docs: DataFrame) -> DataFrame:
+    """doc_id and text, in which one document of ten repeats its words from some place on (the rule of the query's contract)."""
+    docs = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    chosen = docs.withColumn("w", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))))
+    a = F.floor(F.col("h") / 10) % F.size("w")
+    placed = chosen.withColumn("a", F.when(F.size("w") > 0, a).cast("int"))
+    rest = F.size("w") - F.col("a")
+    sized = placed.withColumn("p", (1 + F.floor(rest / (3 + F.floor(F.col("h") / 10) % 8))).cast("int"))
+    tail = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int")))
+    words = F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(tail, F.lit(1), rest))
+    return sized.select("doc_id", F.when(F.col("a").isNull(), F.col("text")).otherwise(F.array_join(words, " ")).alias("text"))
+
+
+@_query
+def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = word_runs.find_runs(_repeated_tails(_table(spark, sf_dir, "documents")))
+
+    def order(a, b):  # the greatest exponent first, compared without division, then the smallest start and period
+        mine, other = a["length"] * b["period"], b["length"] * a["period"]
+        return (F.when(mine != other, F.when(mine > other, -1).otherwise(1)).when(a["start"] != b["start"], F.when(a["start"] < b["start"], -1).otherwise(1))
+                .otherwise(F.when(a["period"] < b["period"], -1).when(a["period"] > b["period"], 1).otherwise(0)))
+
+    best = found.withColumn("best", F.get(F.array_sort("runs", order), F.lit(0)))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return best.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                       F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                       _sha256(F.array_join(lines, "")).alias("runs_sha256"), _sha256(F.col("kept")).alias("collapsed_sha256"))
+
+
+ORACLES["op11_word_runs"] = f"""
+WITH {_CRC_TABLE},
+d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w, {_crc('doc_id')} AS h FROM documents, crc),
+e AS (SELECT *, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a, 3 + (h // 10) % 8 AS parts FROM d),
+x AS (SELECT doc_id, CASE WHEN a IS NULL THEN w ELSE list_transform(range(len(w)), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (len(w) - a) // parts) END]) END AS w FROM e),
+t AS (SELECT doc_id, len(w) AS n, unnest(range(len(w))) AS i, unnest(w) AS word FROM x),
+s AS (SELECT a.doc_id, b.i - a.i AS q, a.i FROM t a JOIN t b ON a.doc_id = b.doc_id AND a.word = b.word AND b.i > a.i AND b.i - a.i <= a.n // 4),
+g AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS g FROM s),
+m AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS n FROM g GROUP BY doc_id, q, g HAVING count(*) + q >= greatest(6, 4 * q)),
+r AS (SELECT * FROM m WHERE NOT EXISTS (SELECT 1 FROM m o WHERE o.doc_id = m.doc_id AND o.q < m.q AND o.s <= m.s AND o.s + o.n >= m.s + m.n)),
+b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n::DOUBLE / q DESC, s, q) AS k FROM r),
+f AS (SELECT doc_id, count(*) AS n_runs, max(s) FILTER (k = 1) AS start, max(n) FILTER (k = 1) AS length, max(q) FILTER (k = 1) AS period,
+  sha256(string_agg(s || ',' || n || ',' || q || chr(10), '' ORDER BY s, q)) AS runs_sha256 FROM b GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + n)) AS i FROM r),
+kept AS (SELECT doc_id, sha256(string_agg(word, ' ' ORDER BY i)) AS collapsed FROM t ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+  coalesce(runs_sha256, sha256('')) AS runs_sha256, coalesce(collapsed, sha256('')) AS collapsed_sha256
+FROM x LEFT JOIN f USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
 @_query
 def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -172,16 +231,6 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
-# Unsigned CRC-32 of a decimal number: the table by eight steps per byte, then one look-up per digit.
-_CRC_TABLE = """crc AS (SELECT list(list_reduce(list_prepend(k, range(8)), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY k) AS tab
-  FROM (SELECT unnest(range(256)) AS k))"""
-
-
-def _crc(of: str) -> str:
-    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST({of} AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)), "
-            "lambda c, x: xor(c >> 8, tab[1 + (xor(c, x) & 255)])), 4294967295)")
-
-
 def _level(up: int, by: str, source: str) -> str:
     """One level of all trees: pairs of neighbours, roots unchanged."""
     return (f"SELECT {by}, i // 2 AS i, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE any_value(h) END AS h, "

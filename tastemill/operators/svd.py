@@ -1,10 +1,16 @@
-"""Truncated SVD without centring, by randomised subspace iteration
-(Halko, Martinsson, Tropp 2011).
-
-Rows are (doc, terms ARRAY<STRUCT<term_idx, weight>>). While the basis
-(columns x sketch) fits SVD_BASIS_BYTES it is broadcast and one pass over the
-rows gives each task's share of X'XQ. Beyond that the basis is a table and both
-products run through ``tiles.weighted_sums``.
+"""Truncated SVD without centring: block subspace iteration with Chebyshev steps.
+
+Rows are (doc, terms ARRAY<STRUCT<term_idx, weight>>). The block starts from
+values that follow from the seed and the term id alone, is made orthonormal by
+tall-skinny QR (R factors per task, combined), and is turned to its Ritz vectors
+each round. A round ends the solution when every wanted vector's residual is small
+against the distance to its neighbours; else a Chebyshev polynomial of X'X, small on
+everything below the wanted values, is applied to the block. Vectors of equal
+singular values are turned to one basis that depends on their span only, and one
+rule fixes all signs, so the result does not depend on how the block is carried:
+while it fits SVD_BASIS_BYTES it is an array, shipped to the tasks, and one pass
+over the rows gives each task's share of X'XQ; beyond that it is a table and
+both products run through ``tiles.weighted_sums``. The steps are the same.
 """
 
 from __future__ import annotations
@@ -21,9 +27,12 @@ from ..session import cut_lineage
 from . import tiles
 
 OVERSAMPLING = 10
-ITERATIONS = 5
-# With no more columns than this the sketch is the whole space: one exact pass.
-EXACT_COLUMNS = 256
+ROUNDS = 60
+# Largest error of a component, as residual over the distance to the next value.
+TOLERANCE = 1e-7
+# Values nearer than this (relative) count as one value of higher multiplicity.
+EQUAL_VALUES = 1e-7
+_NOISE = 1e-14
 _SLICE = 8192
 
 
@@ -31,6 +40,8 @@ _SLICE = 8192
 class SvdResult:
     projected: DataFrame  # (doc, features): rows of U * Sigma
     singular_values: np.ndarray
+    error: float = 0.0  # largest residual over gap; above TOLERANCE only if ROUNDS ran out
+    passes: int = 0  # products with X'X
 
 
 def component_cap(k: int, n_columns: int) -> int:
@@ -43,19 +54,228 @@ def truncated_svd(
     n_columns: int,
     k: int,
     seed: int = SEED,
-    iterations: int = ITERATIONS,
     basis_bytes: int = SVD_BASIS_BYTES,
-    exact_columns: int = EXACT_COLUMNS,
 ) -> SvdResult:
     """Project each row on the k leading right singular vectors. Missing
     components (rank below k) come out as zeros."""
     if n_columns == 0 or k <= 0:
         zero = rows.select("doc", F.array(F.lit(0.0)).alias("features"))
         return SvdResult(zero, np.zeros(1))
-    sketch = n_columns if n_columns <= exact_columns else min(n_columns, k + OVERSAMPLING)
+    width = min(n_columns, k + max(OVERSAMPLING, k))
     rows = cut_lineage(rows)  # every pass below reads the same written rows
-    solve = _broadcast_svd if n_columns * sketch * 8 <= basis_bytes else _table_svd
-    return solve(rows, n_columns, k, sketch, seed, iterations)
+    space = (_Array if n_columns * width * 8 <= basis_bytes else _Table)(rows, n_columns)
+    values, components, error = _solve(space, width, k, seed)
+    out = _padded(space.project(components), k)
+    return SvdResult(out, np.pad(np.sqrt(values), (0, k - len(values))), error, space.passes)
+
+
+def _start_rows(terms: np.ndarray, width: int, seed: int) -> np.ndarray:
+    """Uniform values in [-1, 1) from (seed, term, column) alone."""
+    with np.errstate(over="ignore"):
+        x = terms.astype(np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15) + np.arange(1, width + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)
+        x += np.uint64(seed) * np.uint64(0xA24BAED4963EE407)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / 2.0**52 - 1.0
+
+
+def _whitener(r: np.ndarray) -> np.ndarray:
+    """Matrix that makes the columns of Y = QR orthonormal; vanishing directions go."""
+    if not r.size:
+        return np.zeros((r.shape[1], 0))
+    _, size, turn = np.linalg.svd(r)
+    size = size[: len(turn)]
+    keep = size > size.max(initial=0.0) * 1e-12
+    return turn[: len(size)].T[:, keep] / size[keep]
+
+
+def _orthonormal(space, block):
+    for _ in range(2):  # the second time removes what rounding left
+        block = space.mix((block, _whitener(space.r_factor(block))))
+    return block
+
+
+def _solve(space, width: int, k: int, seed: int):
+    """(values of X'X, their vectors, largest error) of the k leading components."""
+    start = space.start(width, seed)
+    block = _orthonormal(space, space.apply(start))
+    for step in range(ROUNDS):
+        image = space.apply(block)
+        small = space.cross(block, image)
+        values, turn = np.linalg.eigh((small + small.T) / 2)
+        values, turn = np.maximum(values[::-1], 0.0), turn[:, ::-1]
+        if not len(values):
+            return values, block, 0.0
+        rest = space.mix((image, turn), (block, -turn * values))
+        residual = np.sqrt(np.maximum(np.diag(space.cross(rest, rest)), 0.0))
+        wanted = min(k, len(values))
+        error = _errors(values, residual)[:wanted].max()
+        if error <= TOLERANCE or step + 1 == ROUNDS:
+            break
+        # everything up to ``edge`` is damped; it stays below the wanted values, which may be equal to the last
+        edge = min(values[-1], 0.9 * values[wanted - 1])
+        block = _orthonormal(space, _chebyshev(space, block, image, turn, values, max(edge, values[0] * 1e-12)))
+    turn = turn @ _one_basis(values, turn, space.cross(block, start))
+    vectors = space.mix((block, turn[:, :wanted]))
+    vectors = space.mix((vectors, np.diag(space.signs(vectors))))
+    return values[:wanted], vectors, float(error)
+
+
+def _errors(values: np.ndarray, residual: np.ndarray) -> np.ndarray:
+    """Residual over the distance to the next other value; below rounding it is 0."""
+    ids = _clusters(values)
+    gap = np.empty(len(values))
+    for c in range(ids[-1] + 1):
+        member = np.flatnonzero(ids == c)
+        above = values[member[0] - 1] - values[member[0]] if member[0] else np.inf
+        below = values[member[-1]] - values[member[-1] + 1] if member[-1] + 1 < len(values) else max(values[member[-1]], values[0] * EQUAL_VALUES)
+        gap[member] = min(above, below)
+    return np.where(residual <= _NOISE * len(values) * values[0], 0.0, residual / np.maximum(gap, values * EQUAL_VALUES + 1e-300))
+
+
+def _clusters(values: np.ndarray) -> np.ndarray:
+    """Number of the group of (nearly) equal values that each descending value is in."""
+    return np.concatenate(([0], np.cumsum(values[:-1] - values[1:] > EQUAL_VALUES * values[:-1])))
+
+
+def _one_basis(values: np.ndarray, turn: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Rotation inside each group of equal values to the basis that the start block's projection gives."""
+    ids, out = _clusters(values), np.eye(len(values))
+    for c in np.flatnonzero(np.bincount(ids) > 1):
+        member = np.flatnonzero(ids == c)
+        q, r = np.linalg.qr((turn[:, member].T @ start)[:, : len(member)])
+        out[np.ix_(member, member)] = q * np.where(np.diag(r) < 0, -1.0, 1.0)
+    return out
+
+
+def _chebyshev(space, block, image, turn, values, edge: float):
+    """A Chebyshev polynomial of X'X, bounded by 1 on [0, edge], times the Ritz vectors, each scaled to about its size."""
+    reach = np.arccosh(np.maximum(2 * values / edge - 1, 1.0))
+    degree = int(np.clip(np.log(1e13) / max(reach[0], 1e-3), 2, 12))
+    before, now = space.mix((block, turn)), space.mix((image, turn * (2 / edge)), (block, -turn))
+    same = np.eye(len(values))
+    for _ in range(degree - 1):
+        before, now = now, space.mix((space.apply(now), same * (4 / edge)), (now, -2 * same), (before, -same))
+    return space.mix((now, np.diag(1 / np.cosh(degree * reach))))
+
+
+class _Array:
+    """The block as a driver array, bounded by SVD_BASIS_BYTES and shipped to the tasks."""
+
+    def __init__(self, rows: DataFrame, n: int):
+        self.rows, self.n, self.passes = rows, n, 0
+
+    def start(self, width, seed):
+        return _start_rows(np.arange(self.n), width, seed)
+
+    def apply(self, block):
+        self.passes += 1
+        return _gram_pass(self.rows, block)
+
+    def mix(self, *parts):
+        return sum(block @ matrix for block, matrix in parts)
+
+    def cross(self, a, b):
+        return a.T @ b
+
+    def r_factor(self, block):
+        return np.linalg.qr(block, mode="r")
+
+    def signs(self, vectors):
+        return np.array([_sign(np.arange(len(v)), v) for v in vectors.T])
+
+    def project(self, vectors):
+        shared = self.rows.sparkSession.sparkContext.broadcast(vectors)
+
+        def kernel(batches):
+            for batch in batches:
+                yield tiles._vec_batch(batch.column("doc").to_numpy(), _times(batch, shared.value))
+
+        rows = self.rows.select(F.col("doc").cast("bigint").alias("doc"), "terms")
+        if not vectors.shape[1]:
+            return rows.select("doc", F.array().cast("array<double>").alias("features"))
+        return rows.mapInArrow(kernel, "key BIGINT, vec ARRAY<DOUBLE>").toDF("doc", "features")
+
+
+class _Table:
+    """The block as a table (key, vec); only products of its narrow side reach the driver."""
+
+    def __init__(self, rows: DataFrame, n: int):
+        cells = rows.select(F.col("doc").cast("bigint").alias("doc"), F.explode("terms").alias("c")).select(
+            "doc", F.col("c.term_idx").cast("bigint").alias("term"), F.col("c.weight").alias("weight"))
+        self.by_doc = cells.select(F.col("doc").alias("key"), F.col("term").alias("item"), "weight")
+        self.by_term = cells.select(F.col("term").alias("key"), F.col("doc").alias("item"), "weight")
+        self.rows, self.passes = rows, 0
+
+    def _product(self, entries, vectors, salt=1):
+        v = vectors.select(F.col("key").alias("item"), "vec")
+        return tiles.weighted_sums(entries, v, tiles.plan_layout(v, vec="vec"), salt)
+
+    def start(self, width, seed):
+        def kernel(batches):
+            for batch in batches:
+                keys = batch.column("key").to_numpy()
+                if len(keys):
+                    yield tiles._vec_batch(keys, _start_rows(keys, width, seed))
+
+        return cut_lineage(self.by_term.select("key").distinct().mapInArrow(kernel, "key BIGINT, vec ARRAY<DOUBLE>"))
+
+    def apply(self, block):
+        self.passes += 1
+        # A term can be in nearly every document: its entries are salted.
+        return cut_lineage(self._product(self.by_term, self._product(self.by_doc, block), salt=16))
+
+    def mix(self, *parts):
+        mixed = [_apply(block, matrix) for block, matrix in parts]
+        if len(mixed) == 1:
+            return cut_lineage(mixed[0])
+        every = mixed[0]
+        for more in mixed[1:]:
+            every = every.union(more)
+        return cut_lineage(tiles.sum_vectors(every, "key", "vec"))
+
+    def cross(self, a, b):
+        return _narrow_product(a, b)
+
+    def r_factor(self, block):
+        return _tall_r(block)
+
+    def signs(self, vectors):
+        def kernel(batches):
+            # per batch: the first of each column's largest entries
+            for batch in batches:
+                keys, m = batch.column("key").to_numpy(), tiles._matrix(batch.column("vec"))
+                if len(keys):
+                    order = np.argsort(keys)
+                    at = [order[_peak(m[order, j])] for j in range(m.shape[1])]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.arange(m.shape[1])), pa.array(keys[at]), pa.array(m[at, np.arange(m.shape[1])])], names=["column", "key", "x"])
+
+        peaks = vectors.select("key", "vec").mapInArrow(kernel, "column BIGINT, key BIGINT, x DOUBLE")
+        largest = peaks.groupBy("column").agg(F.max(F.abs("x")).alias("top"))
+        near = peaks.join(largest, "column").where(F.abs("x") >= F.col("top") * (1 - _PEAK))
+        first = near.groupBy("column").agg(F.min_by("x", "key").alias("x")).toArrow().sort_by("column")
+        return np.where(first.column("x").to_numpy() < 0, -1.0, 1.0)
+
+    def project(self, vectors):
+        found = self._product(self.by_doc, vectors).toDF("_key", "features")
+        docs = self.rows.select(F.col("doc").cast("bigint").alias("doc"))
+        return docs.join(found, F.col("doc") == F.col("_key"), "left").select(
+            "doc", F.coalesce("features", F.array().cast("array<double>")).alias("features"))
+
+
+# The sign of a component makes its largest entry positive; of entries within
+# this share of the largest, the one of the smallest term id counts.
+_PEAK = 1e-6
+
+
+def _peak(v: np.ndarray) -> int:
+    size = np.abs(v)
+    return int(np.argmax(size >= size.max() * (1 - _PEAK)))
+
+
+def _sign(terms: np.ndarray, v: np.ndarray) -> float:
+    return -1.0 if len(v) and v[_peak(v)] < 0 else 1.0
 
 
 def _csr(batch: pa.RecordBatch):
@@ -78,11 +298,39 @@ def _scatter(out, target, source_rows, weight):
         out[t[starts]] += np.add.reduceat(source_rows(lo, lo + len(t)) * weight[lo : lo + _SLICE, None], starts, axis=0)
 
 
+# Rows multiplied at once, and the least share of cells that makes a dense product the cheaper one.
+_ROWS = 512
+_DENSE = 0.01
+
+
+def _slices(batch: pa.RecordBatch):
+    """(first row, rows, sorted columns, dense slice or None, (row, column, weight)) of runs of rows."""
+    row, col, weight = _csr(batch)
+    for lo in range(0, batch.num_rows, _ROWS):
+        a, b = np.searchsorted(row, (lo, lo + _ROWS))
+        n = min(_ROWS, batch.num_rows - lo)
+        r, c, w = row[a:b] - lo, col[a:b], weight[a:b]
+        columns, at = np.unique(c, return_inverse=True)
+        dense = None
+        if len(c) > _DENSE * n * len(columns):
+            dense = np.bincount(r * len(columns) + at, w, n * len(columns)).reshape(n, len(columns))
+        yield lo, n, columns, dense, (r, c, w)
+
+
+def _slice_times(part, basis) -> np.ndarray:
+    _, n, columns, dense, (r, c, w) = part
+    if dense is not None:
+        return dense @ basis[columns]
+    y = np.zeros((n, basis.shape[1]))
+    _scatter(y, r, lambda a, b: basis[c[a:b]], w)
+    return y
+
+
 def _times(batch, basis) -> np.ndarray:
     """Rows of the batch times a dense basis."""
-    row, col, weight = _csr(batch)
     y = np.zeros((batch.num_rows, basis.shape[1]))
-    _scatter(y, row, lambda a, b: basis[col[a:b]], weight)
+    for part in _slices(batch):
+        y[part[0] : part[0] + part[1]] = _slice_times(part, basis)
     return y
 
 
@@ -94,11 +342,14 @@ def _gram_pass(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
         q = shared.value
         z = np.zeros(q.shape)
         for batch in batches:
-            y = _times(batch, q)
-            row, col, weight = _csr(batch)
-            order = np.argsort(col, kind="stable")
-            r, w = row[order], weight[order]
-            _scatter(z, col[order], lambda a, b: y[r[a:b]], w)
+            for part in _slices(batch):
+                y, (_, _, columns, dense, (r, c, w)) = _slice_times(part, q), part
+                if dense is not None:
+                    z[columns] += dense.T @ y
+                    continue
+                order = np.argsort(c, kind="stable")
+                rows_of = r[order]
+                _scatter(z, c[order], lambda a, b: y[rows_of[a:b]], w[order])
         touched = np.flatnonzero(np.abs(z).sum(axis=1))
         if len(touched):
             yield tiles._vec_batch(touched, z[touched])
@@ -114,60 +365,55 @@ def _gram_pass(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
     return total
 
 
-def _fix_signs(v: np.ndarray) -> np.ndarray:
-    peak = v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])]
-    return v * np.where(peak < 0, -1.0, 1.0)
-
-
-def _ritz(small: np.ndarray, k: int):
-    """Leading eigenpairs of the projected Gram matrix."""
-    values, vectors = np.linalg.eigh((small + small.T) / 2)
-    order = np.argsort(values)[::-1][:k]
-    return np.maximum(values[order], 0.0), vectors[:, order]
+def _padded(df: DataFrame, k: int) -> DataFrame:
+    missing = F.array_repeat(F.lit(0.0), F.greatest(F.lit(k) - F.size("features"), F.lit(0)))
+    return df.withColumn("features", F.concat("features", missing))
 
 
-def _broadcast_svd(rows, n, k, sketch, seed, iterations) -> SvdResult:
-    if sketch == n:
-        basis, iterations = np.eye(n), 0  # the whole space: one pass is exact
-    else:
-        start = np.random.default_rng(seed).standard_normal((n, sketch))
-        basis = np.linalg.qr(start)[0]
-    for _ in range(iterations):
-        basis = np.linalg.qr(_gram_pass(rows, basis))[0]
-    values, turn = _ritz(basis.T @ _gram_pass(rows, basis), k)
-    components = _fix_signs(basis @ turn)
-    components[:, values <= 1e-20] = 0.0
-    shared = rows.sparkSession.sparkContext.broadcast(components)
+def _narrow_product(a: DataFrame, b: DataFrame) -> np.ndarray:
+    """a'b of two tall tables over the same keys: partial products per task, added."""
+    both = a.select("key", "vec").join(b.select("key", F.col("vec").alias("other")), "key") if a is not b else a.select("key", "vec", F.col("vec").alias("other"))
 
-    def project(batches):
+    def kernel(batches):
+        g = None
         for batch in batches:
-            yield tiles._vec_batch(batch.column("doc").to_numpy(), _times(batch, shared.value))
+            if batch.num_rows:
+                part = tiles._matrix(batch.column("vec")).T @ tiles._matrix(batch.column("other"))
+                g = part if g is None else g + part
+        if g is not None:
+            yield tiles._vec_batch(np.arange(len(g)), g)
 
-    out = rows.select(F.col("doc").cast("bigint").alias("doc"), "terms").mapInArrow(project, "key BIGINT, vec ARRAY<DOUBLE>")
-    return SvdResult(_padded(out.select(F.col("key").alias("doc"), F.col("vec").alias("features")), k), _pad(np.sqrt(values), k))
+    partial = both.select("vec", "other").mapInArrow(kernel, "key BIGINT, vec ARRAY<DOUBLE>")
+    return _collected(tiles.sum_vectors(partial, "key", "vec"))
 
 
-def _pad(values: np.ndarray, k: int) -> np.ndarray:
-    return np.pad(values, (0, k - len(values)))
+def _collected(narrow: DataFrame) -> np.ndarray:
+    """A table of as many rows as the block is wide."""
+    table = narrow.toArrow().sort_by("key")
+    return tiles._matrix(table.column("vec").combine_chunks()) if table.num_rows else np.zeros((0, 0))
 
 
-def _padded(df: DataFrame, k: int) -> DataFrame:
-    missing = F.array_repeat(F.lit(0.0), F.greatest(F.lit(k) - F.size("features"), F.lit(0)))
-    return df.withColumn("features", F.concat("features", missing))
+# R factors that are combined in one task, at each of two levels.
+_R_GROUP = 64
 
 
-def _small_gram(vectors: DataFrame, width: int) -> np.ndarray:
-    """width x width product of a tall table with itself."""
-    def kernel(batches):
-        g = np.zeros((width, width))
+def _tall_r(vectors: DataFrame) -> np.ndarray:
+    """R of a tall table's QR: each task's own R, stacked and reduced in groups, then in one."""
+
+    def own(batches):
+        r = None
         for batch in batches:
-            m = tiles._matrix(batch.column("vec"))
-            g += m.T @ m
-        yield tiles._vec_batch(np.arange(width), g)
+            if batch.num_rows:
+                m = tiles._matrix(batch.column("vec"))
+                r = np.linalg.qr(m if r is None else np.concatenate((r, m)), mode="r")
+        if r is not None:
+            yield tiles._vec_batch(np.arange(len(r)), r)
 
-    partial = vectors.select("vec").mapInArrow(kernel, "key BIGINT, vec ARRAY<DOUBLE>")
-    table = tiles.sum_vectors(partial, "key", "vec", width).toArrow().sort_by("key")
-    return tiles._matrix(table.column("vec").combine_chunks())
+    level = vectors.select("vec").mapInArrow(own, "key BIGINT, vec ARRAY<DOUBLE>")
+    task = F.spark_partition_id()
+    level = level.select((task % _R_GROUP).alias("g"), "vec").repartition(_R_GROUP, "g").select("vec").mapInArrow(own, "key BIGINT, vec ARRAY<DOUBLE>")
+    table = level.toArrow()  # at most _R_GROUP factors
+    return np.linalg.qr(tiles._matrix(table.column("vec").combine_chunks()), mode="r") if table.num_rows else np.zeros((0, 0))
 
 
 def _apply(vectors: DataFrame, matrix: np.ndarray) -> DataFrame:
@@ -180,44 +426,6 @@ def _apply(vectors: DataFrame, matrix: np.ndarray) -> DataFrame:
     return vectors.select("key", "vec").mapInArrow(kernel, "key BIGINT, vec ARRAY<DOUBLE>")
 
 
-def _whiten(gram: np.ndarray) -> np.ndarray:
-    """Matrix that makes the columns orthonormal; vanishing directions go to 0."""
-    values, vectors = np.linalg.eigh(gram)
-    keep = values > values.max() * 1e-12
-    return vectors[:, keep] / np.sqrt(values[keep])
-
-
-def _table_svd(rows, n, k, sketch, seed, iterations) -> SvdResult:
-    cells = rows.select(F.col("doc").cast("bigint").alias("doc"), F.explode("terms").alias("c")).select(
-        "doc", F.col("c.term_idx").cast("bigint").alias("term"), F.col("c.weight").alias("weight")
-    )
-    by_doc = cells.select(F.col("doc").alias("key"), F.col("term").alias("item"), "weight")
-    by_term = cells.select(F.col("term").alias("key"), F.col("doc").alias("item"), "weight")
-
-    def product(entries, vectors, salt=1):
-        v = vectors.select(F.col("key").alias("item"), "vec")
-        return tiles.weighted_sums(entries, v, tiles.plan_layout(v, vec="vec"), salt)
-
-    def random_rows(batches):
-        for batch in batches:
-            keys = batch.column("key").to_numpy()
-            if len(keys):
-                yield tiles._vec_batch(keys, np.stack([np.random.default_rng([seed, int(t)]).standard_normal(sketch) for t in keys]))
-
-    start = cells.select(F.col("term").alias("key")).distinct()
-    basis = cut_lineage(start.mapInArrow(random_rows, "key BIGINT, vec ARRAY<DOUBLE>"))
-    width = sketch
-    for _ in range(iterations):
-        # A term can be in nearly every document: its entries are salted.
-        z = cut_lineage(product(by_term, product(by_doc, basis), salt=16))
-        turn = _whiten(_small_gram(z, width))
-        basis, width = cut_lineage(_apply(z, turn)), turn.shape[1]
-    y = cut_lineage(product(by_doc, basis))
-    values, turn = _ritz(_small_gram(y, width), k)
-    out = _apply(y, turn).select(F.col("key").alias("doc"), F.col("vec").alias("features"))
-    return SvdResult(_padded(out, k), _pad(np.sqrt(values), k))
-
-
 def explained_variance(rows: DataFrame, projected: DataFrame, n_docs) -> DataFrame:
     """Variance of the projected columns over the variance of the originals;
     documents without terms count as zero rows."""

@@ -243,7 +243,7 @@ def manifest(docs: DataFrame, group: str = "lang", claimed: Column | None = None
     claimed = F.lit(None).cast("string") if claimed is None else claimed
     key = F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))  # null first, then by bytes
     rows = cut_lineage(docs.select(key.alias("g"), F.unhex(leaf([F.col(c) for c in FIELDS])).alias("digest"),
-                                   F.col("doc_id").cast("long").alias("_id"), F.unhex(claimed).alias("_claimed")))
+                                   F.col("doc_id").cast("long").alias("_id"), F.unhex(claimed).alias("_claimed")).hint("rebalance"))
     carried = F.struct(F.col("_id").alias("doc_id"), F.col("_claimed").alias("claimed")).alias("payload")
     groups = build(_numbered(rows.select("g", "_id", "digest", carried), ["_id", "digest"]))
     heads = groups.roots.select(F.lit("").alias("g"), F.col("g").alias("_name"), F.col("root").alias("digest"), F.col("g").alias("payload"))

@@ -321,7 +321,7 @@ def verified_links(docs: DataFrame, families: DataFrame, sizes: DataFrame) -> Da
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links) and kept (doc_id is component_id) of every row."""
-    rows = cut_lineage(describe(docs))
+    rows = cut_lineage(describe(docs).hint("rebalance"))  # files of one size, whatever the input's are
     sets = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL")
     nodes = cut_lineage(sets.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.max("n_shingles").alias("n_shingles"),
                                                    F.first("sig").alias("sig"), F.first("bands").alias("bands")))

@@ -55,8 +55,13 @@ class TfidfParams:
 
 # Size guards. A side is shipped to every task only below these sizes; beyond
 # them the same operator switches to its blocked plan.
-ITEM_BLOCK_BYTES = 256 * 1024 * 1024
+ITEM_BLOCK_BYTES = 64 * 1024 * 1024
+# Scores that a task holds at once.
+SLAB_BYTES = 16 * 1024 * 1024
 SVD_BASIS_BYTES = 64 * 1024 * 1024
 
 # A group with more rows than this is ranked by radix levels, not in one task.
 HOT_GROUP_ROWS = 2_000_000
+# Users with more ratings than this are spread over several tasks, whose partial profiles are added.
+HOT_USER_ROWS = 500_000
+HOT_USER_SALT = 16

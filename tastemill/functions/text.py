@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import NO_GENRES, RATING_MAX, RATING_MIN
@@ -58,6 +58,14 @@ def tolerant_list(col: Column) -> Column:
     )
 
 
+def as_list(df: DataFrame, column: str) -> Column:
+    """A list column in either form, text or array; null is an empty list."""
+    c = F.col(column)
+    if dict(df.dtypes)[column] == "string":
+        return tolerant_list(c)
+    return F.coalesce(c, F.array().cast("array<string>"))
+
+
 def token(prefix: str, name: Column) -> Column:
     """Lower-case name with underscores behind a kind prefix."""
     return F.concat(F.lit(prefix), F.replace(F.lower(name), F.lit(" "), F.lit("_")))

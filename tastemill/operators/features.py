@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import GENRES, NUMERICAL_FEATURES
+from ..functions.text import as_list
 from .ranking import exact_median
 
 
@@ -20,7 +20,7 @@ def multi_hot(labels: Column, vocabulary: Sequence[str]) -> Column:
 
 
 def genres(items: DataFrame, vocabulary: Sequence[str] = GENRES) -> DataFrame:
-    return items.select("movie_idx", multi_hot(F.col("genres_list"), vocabulary).alias("features"))
+    return items.select("movie_idx", multi_hot(as_list(items, "genres_list"), vocabulary).alias("features"))
 
 
 def scale_column(df: DataFrame, column: str) -> Column:
@@ -97,10 +97,14 @@ def unit(vec: Column, weight: float = 1.0) -> Column:
 
 
 def combine(groups: Sequence[tuple[DataFrame, float]], index: DataFrame) -> DataFrame:
-    """Concatenate weighted, row-normalised groups, aligned to the index."""
-    parts = [
-        align(df, index).select("movie_idx", unit(F.col("features"), weight).alias(f"g{i}"))
-        for i, (df, weight) in enumerate(groups)
-    ]
-    joined = reduce(lambda a, b: a.join(b, "movie_idx"), parts)
-    return joined.select("movie_idx", F.concat(*[F.col(f"g{i}") for i in range(len(parts))]).alias("features"))
+    """Concatenate weighted, row-normalised groups, aligned to the index: one union and one grouping
+    by item, however many groups there are. Missing vectors are zeros of the group's width."""
+    none = F.array().cast("array<double>")
+    rows = index.select("movie_idx", F.lit(-1).alias("g"), none.alias("vec"))
+    for i, (df, weight) in enumerate(groups):
+        rows = rows.union(df.select("movie_idx", F.lit(i), unit(F.col("features").cast("array<double>"), weight)))
+    of = {i: F.max(F.when(F.col("g") == i, F.col("vec"))).alias(f"g{i}") for i in range(-1, len(groups))}
+    wide = rows.groupBy("movie_idx").agg(*of.values()).where("`g-1` IS NOT NULL")
+    widths = [F.coalesce(df.agg(F.max(F.size("features"))).scalar(), F.lit(1)) for df, _ in groups]
+    parts = [F.coalesce(f"g{i}", F.array_repeat(F.lit(0.0), width)) for i, width in enumerate(widths)]
+    return wide.select("movie_idx", F.concat(*parts).alias("features"))

@@ -47,11 +47,15 @@ def resolve_titles(items: DataFrame, order: str = "movie_idx") -> DataFrame:
     )
 
 
+# Fixed value: title of an item that has none.
+UNKNOWN_TITLE = "Unknown"
+
+
 def attach_titles(df: DataFrame, items: DataFrame) -> DataFrame:
-    """movie_idx to title, "Unknown" when there is none."""
+    """movie_idx to title, UNKNOWN_TITLE when there is none."""
     titles = items.filter(F.col("movie_idx").isNotNull()).select("movie_idx", "title")
     return df.join(titles, "movie_idx", "left").withColumn(
-        "title", F.coalesce("title", F.lit("Unknown"))
+        "title", F.coalesce("title", F.lit(UNKNOWN_TITLE))
     )
 
 

@@ -22,21 +22,20 @@ def liked_items(ratings: DataFrame, items: DataFrame, threshold: float = RELEVAN
     return ratings.filter(F.col("rating") >= threshold).select("user_id", "movie_idx").join(items, "movie_idx")
 
 
-def _list_column(items: DataFrame, column: str):
-    c = F.col(column)
-    return text.tolerant_list(c) if dict(items.dtypes)[column] == "string" else c
-
-
-def item_values(items: DataFrame) -> DataFrame:
+def item_values(items: DataFrame, tags: DataFrame | None = None) -> DataFrame:
     """(movie_idx, kind, value, n): genres, cast, director and long tag words of
-    each item, counted per item before any user is involved."""
+    each item, counted per item before any user is involved. Tag words come from
+    the rows of ``tags`` (movie_idx, tag), or else from a text column."""
     parts = []
     for kind, column in (("genre", "genres_list"), ("cast", "cast")):
         if column in items.columns:
-            parts.append(items.select("movie_idx", F.lit(kind).alias("kind"), F.explode(_list_column(items, column)).alias("value")))
+            parts.append(items.select("movie_idx", F.lit(kind).alias("kind"), F.explode(text.as_list(items, column)).alias("value")))
     if "director" in items.columns:
         parts.append(items.select("movie_idx", F.lit("director").alias("kind"), F.col("director").alias("value")).dropna())
-    if "user_tags_text" in items.columns:
+    if tags is not None:
+        words = F.explode(text.long_words(F.col("tag")))
+        parts.append(tags.select("movie_idx", F.lit("tag").alias("kind"), words.alias("value")))
+    elif "user_tags_text" in items.columns:
         words = F.explode(text.long_words(F.col("user_tags_text")))
         parts.append(items.select("movie_idx", F.lit("tag").alias("kind"), words.alias("value")))
     values = reduce(DataFrame.unionByName, parts)
@@ -45,13 +44,13 @@ def item_values(items: DataFrame) -> DataFrame:
 
 def taste_profile(
     ratings: DataFrame, items: DataFrame, threshold: float = RELEVANCE_THRESHOLD,
-    top: int = TOP_VALUES, top_words: int = TOP_WORDS,
+    top: int = TOP_VALUES, top_words: int = TOP_WORDS, tags: DataFrame | None = None,
 ) -> DataFrame:
     """(user_id, kind, rank, value, n): top values per user and kind. Tag words
     are cut to the top ones first and then need a count above one."""
     liked = ratings.filter(F.col("rating") >= threshold).select("user_id", "movie_idx")
     counted = (
-        liked.join(item_values(items), "movie_idx")
+        liked.join(item_values(items, tags), "movie_idx")
         .groupBy("user_id", "kind", "value").agg(F.sum("n").alias("n"))
     )
     ranked = top_per_group(counted, ["user_id", "kind"], [F.desc("n"), F.asc("value")], max(top, top_words))

@@ -8,7 +8,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import KS
-from ..schemas import metric_names
+
+
+def _ideal_gain(n_gt: Column, k: int) -> Column:
+    """Discounted gain of min(n_gt, k) hits at the top ranks."""
+    ranks = F.sequence(F.lit(1), F.least(n_gt, F.lit(k)).cast("int"))
+    return F.aggregate(ranks, F.lit(0.0), lambda acc, i: acc + 1.0 / F.log2(i + 1.0))
+
+
+# Every metric at a cut-off k, from the hits found, their discounted gain and the number of relevant items.
+PER_CUTOFF = {
+    "hr": lambda found, gain, n_gt, k: F.when(found > 0, 1.0).otherwise(0.0),
+    "p": lambda found, gain, n_gt, k: found / F.lit(k) if k else F.lit(0.0),
+    "r": lambda found, gain, n_gt, k: found / n_gt,
+    "ndcg": lambda found, gain, n_gt, k: gain / _ideal_gain(n_gt, k) if k else F.lit(0.0),
+}
+
+
+def columns_at(ks: Sequence[int]) -> dict[str, Column]:
+    """Column name to expression, cut-off by cut-off."""
+    return {
+        f"{name}@{k}": of(F.col(f"__h{k}"), F.col(f"__g{k}"), F.col("n_gt"), k)
+        for k in ks for name, of in PER_CUTOFF.items()
+    }
 
 
 def hits(recs: DataFrame, truth: DataFrame) -> DataFrame:
@@ -19,12 +41,6 @@ def hits(recs: DataFrame, truth: DataFrame) -> DataFrame:
     )
 
 
-def _ideal_gain(n_gt: Column, k: int) -> Column:
-    """Discounted gain of min(n_gt, k) hits at the top ranks."""
-    ranks = F.sequence(F.lit(1), F.least(n_gt, F.lit(k)).cast("int"))
-    return F.aggregate(ranks, F.lit(0.0), lambda acc, i: acc + 1.0 / F.log2(i + 1.0))
-
-
 def per_user_metrics(recs: DataFrame, truth: DataFrame, ks: Sequence[int] = KS) -> DataFrame:
     """(user_id, n_gt, hr@K, p@K, r@K, ndcg@K) for every user with relevant items.
 
@@ -39,24 +55,13 @@ def per_user_metrics(recs: DataFrame, truth: DataFrame, ks: Sequence[int] = KS)
         sums.append(F.count_if(rank <= k).alias(f"__h{k}"))
         sums.append(F.coalesce(F.sum(F.when(rank <= k, 1.0 / F.log2(rank + 1.0))), F.lit(0.0)).alias(f"__g{k}"))
     user = ranked.groupBy("user_id").agg(*sums)
-    columns = []
-    for k in ks:
-        found = F.col(f"__h{k}")
-        columns += [
-            F.when(found > 0, 1.0).otherwise(0.0).alias(f"hr@{k}"),
-            (found / F.lit(k) if k else F.lit(0.0)).alias(f"p@{k}"),
-            (found / F.col("n_gt")).alias(f"r@{k}"),
-            (F.col(f"__g{k}") / _ideal_gain(F.col("n_gt"), k) if k else F.lit(0.0)).alias(f"ndcg@{k}"),
-        ]
-    return user.select("user_id", "n_gt", *columns)
+    return user.select("user_id", "n_gt", *[c.alias(name) for name, c in columns_at(ks).items()])
 
 
 def aggregate_metrics(per_user: DataFrame, ks: Sequence[int] = KS) -> DataFrame:
     """One row: evaluated users and the mean of every metric column present."""
-    present = [m for m in metric_names(ks) if m in per_user.columns]
-    return per_user.agg(
-        F.count(F.lit(1)).alias("n_users"), *[F.avg(F.col(f"`{m}`")).alias(m) for m in present]
-    )
+    means = [F.avg(F.col(f"`{m}`")).alias(m) for m in columns_at(ks) if m in per_user.columns]
+    return per_user.agg(F.count(F.lit(1)).alias("n_users"), *means)
 
 
 def rmse(predictions: DataFrame, predicted: str = "prediction", actual: str = "rating") -> DataFrame:

@@ -10,9 +10,13 @@ task after executor loss gives the same ranks.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def radix_rank(
     df: DataFrame,
@@ -68,33 +72,54 @@ def top_per_group(
     return df.withColumn(out, F.row_number().over(w)).filter(F.col(out) <= k)
 
 
-def exact_median(df: DataFrame, column: str) -> DataFrame:
-    """One row, one column ``median`` (linear interpolation, nulls ignored).
+# Bits of a value that one pass settles; a histogram has at most 2 ** _DIGIT rows per wanted rank.
+_DIGIT = 16
+
+
+def _ordered_bits(batches):
+    """Doubles as integers of the same order; minus zero is zero, every NaN one value above infinity."""
+    for batch in batches:
+        values = batch.column(0).to_numpy(zero_copy_only=False) + 0.0
+        values[np.isnan(values)] = np.nan
+        bits = values.view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(bits ^ (bits >> 63 & np.int64(2**63 - 1)))], names=["bits"])
+
+
+def _double(bits: int) -> float:
+    bits = np.int64(bits)
+    return float((bits ^ (bits >> 63 & np.int64(2**63 - 1))).view(np.float64))
+
 
-    Two passes: approximate quantiles fence in the middle, then only distinct
-    values inside the fence, with their frequencies, are ordered. Rows below the
-    fence are merely counted.
+def select_ranks(values: DataFrame, ranks: list[int]) -> list[int]:
+    """Values (column ``bits``, BIGINT) at 0-based ranks, by radix selection.
+
+    Each pass counts the next digit of the values that share a wanted prefix; no
+    value is ever sorted, and equal values cost nothing but their count.
     """
-    v = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    fence = v.agg(
-        F.percentile_approx("v", F.lit(0.49), F.lit(10000)).alias("lo"),
-        F.percentile_approx("v", F.lit(0.51), F.lit(10000)).alias("hi"),
-    )
-    lo, hi = fence.select("lo").scalar(), fence.select("hi").scalar()
-    below = v.filter(F.col("v") < lo).agg(F.count(F.lit(1))).scalar()
-    n = v.agg(F.count(F.lit(1))).scalar()
-    middle = (
-        v.filter((F.col("v") >= lo) & (F.col("v") <= hi))
-        .groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    )
-    # Bounded: at most the distinct values between two adjacent percentiles.
-    upto = F.sum("c").over(Window.partitionBy(F.lit(0)).orderBy("v")) + F.col("below")
-    ranked = middle.withColumns({"below": below, "n": n}).withColumn("upto", upto)
-    left = F.floor((F.col("n") - 1) / 2) + 1
-    right = F.floor(F.col("n") / 2) + 1
-    return ranked.agg(
-        (
-            (F.min(F.when(F.col("upto") >= left, F.col("v")))
-             + F.min(F.when(F.col("upto") >= right, F.col("v")))) / 2
-        ).alias("median")
-    )
+    found = [(0, rank) for rank in ranks]  # prefix, rank inside of it
+    for shift in range(64 - _DIGIT, -1, -_DIGIT):
+        rows = values
+        if shift < 64 - _DIGIT:
+            rows = values.where(F.shiftright("bits", shift + _DIGIT).isin(sorted({p for p, _ in found})))
+        counts = sorted(map(tuple, rows.groupBy(F.shiftright("bits", shift)).count().collect()))
+        for k, (prefix, rank) in enumerate(found):
+            for digit, n in counts:
+                if shift < 64 - _DIGIT and digit >> _DIGIT != prefix:
+                    continue
+                if rank < n:
+                    found[k] = (digit, rank)
+                    break
+                rank -= n
+    return [bits for bits, _ in found]
+
+
+def exact_median(df: DataFrame, column: str) -> DataFrame:
+    """One row, one column ``median`` (linear interpolation, nulls ignored; null without values)."""
+    v = df.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL")
+    values = cut_lineage(v.mapInArrow(_ordered_bits, "bits BIGINT"))
+    n = values.count()
+    median = None
+    if n:
+        low, high = map(_double, select_ranks(values, [(n - 1) // 2, n // 2]))
+        median = low if low == high else (low + high) / 2
+    return df.sparkSession.createDataFrame([(median,)], "median DOUBLE")

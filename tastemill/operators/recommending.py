@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import N_RECOMMENDATIONS
+from ..config import HOT_USER_ROWS, HOT_USER_SALT, N_RECOMMENDATIONS
+from ..session import cut_lineage
 from . import tiles
 from .indexing import attach_titles, resolve_titles
 from .similarity import check_metric, check_strategy
@@ -36,18 +37,34 @@ def _vectors(features: DataFrame) -> DataFrame:
     return features.select(F.col("movie_idx").alias("item"), F.col("features").alias("vec"))
 
 
+def _split_hot(rows: DataFrame, key: str, hot_rows: int) -> tuple[DataFrame | None, DataFrame]:
+    """Rows of the keys with more than ``hot_rows`` rows (None if there are none), and the others."""
+    hot = cut_lineage(rows.groupBy(key).count().where(F.col("count") > hot_rows).select(key))
+    if hot.isEmpty():
+        return None, rows
+    return rows.join(hot, key, "left_semi"), rows.join(hot, key, "left_anti")
+
+
 def user_profiles(
     ratings: DataFrame,
     features: DataFrame,
     strategy: str = "mean_centering",
     layout: tiles.Layout | None = None,
+    hot_rows: int = HOT_USER_ROWS,
 ) -> DataFrame:
-    """(user_id, profile): weighted sum of the rated items' vectors, not normalised."""
+    """(user_id, profile): weighted sum of the rated items' vectors, not normalised.
+
+    The ratings of users with more than ``hot_rows`` are spread over HOT_USER_SALT
+    shards and the partial profiles added.
+    """
     known = ratings.join(features.select("movie_idx"), "movie_idx", "left_semi")
     weights = rating_weights(known, strategy)
     entries = weights.select(F.col("user_id").alias("key"), F.col("movie_idx").alias("item"), "weight")
     layout = layout or tiles.plan_layout(features)
-    sums = tiles.weighted_sums(entries, _vectors(features), layout)
+    hot, cold = _split_hot(entries, "key", hot_rows)
+    sums = tiles.weighted_sums(cold, _vectors(features), layout)
+    if hot is not None:
+        sums = sums.union(tiles.weighted_sums(hot, _vectors(features), layout, HOT_USER_SALT))
     return sums.select(F.col("key").alias("user_id"), F.col("vec").alias("profile"))
 
 
@@ -58,6 +75,7 @@ def recommend(
     metric: str = "cosine",
     strategy: str = "mean_centering",
     layout: tiles.Layout | None = None,
+    hot_rows: int = HOT_USER_ROWS,
 ) -> DataFrame:
     """(user_id, rank, movie_idx, score) for every user in (user_id, movie_idx, rating).
 
@@ -67,18 +85,23 @@ def recommend(
     check_metric(metric)
     check_strategy(strategy)
     layout = layout or tiles.plan_layout(features)
-    if layout.blocks == 1:
-        rows = ratings.select(
-            F.col("user_id").alias("key"), F.col("movie_idx").alias("item"), F.col("rating").alias("weight")
-        )
-        found = tiles.recommend_one_block(rows, _vectors(features), n, layout, metric, strategy)
-    else:
-        profiles = user_profiles(ratings, features, strategy, layout)
-        found = tiles.top_k(
+
+    def by_profile(rows):
+        profiles = user_profiles(rows, features, strategy, layout, hot_rows)
+        return tiles.top_k(
             profiles.select(F.col("user_id").alias("key"), F.col("profile").alias("vec")),
             _vectors(features), n, layout, metric,
-            seen=ratings.select(F.col("user_id").alias("key"), F.col("movie_idx").alias("item")),
+            seen=rows.select(F.col("user_id").alias("key"), F.col("movie_idx").alias("item")),
         )
+
+    if layout.blocks > 1:
+        found = by_profile(ratings)
+    else:
+        hot, cold = _split_hot(ratings, "user_id", hot_rows)
+        rows = cold.select(F.col("user_id").alias("key"), F.col("movie_idx").alias("item"), F.col("rating").alias("weight"))
+        found = tiles.recommend_one_block(rows, _vectors(features), n, layout, metric, strategy)
+        if hot is not None:
+            found = found.unionByName(by_profile(hot))
     return found.select(
         F.col("key").alias("user_id"), "rank", F.col("item").alias("movie_idx"), "score"
     )

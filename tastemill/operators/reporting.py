@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import KS, STRATEGIES
-from ..schemas import metric_names
+from .metrics import columns_at
 
 # Shape of a model key, base name and strategy.
 MODEL_PATTERN = r"^(cb\d+)_(.*)$"
@@ -29,13 +28,14 @@ def sorted_results(results: DataFrame) -> DataFrame:
     return split_model_key(results).orderBy("model_number", "variant")
 
 
-def _present(results: DataFrame, ks: Sequence[int]) -> list[str]:
-    return [m for m in metric_names(ks) if m in results.columns]
+def _measured(results: DataFrame, ks: Sequence[int]) -> list[str]:
+    """Metric columns that this result table has, in the order of the metrics."""
+    return sorted(set(columns_at(ks)) & set(results.columns), key=list(columns_at(ks)).index)
 
 
 def unpivot_metrics(results: DataFrame, ks: Sequence[int] = KS, extra: Sequence[str] = ()) -> DataFrame:
     """(model, name, value): one row per metric column."""
-    names = [*extra, *_present(results, ks)]
+    names = [*extra, *_measured(results, ks)]
     return results.unpivot(["model"], [F.col(f"`{n}`") for n in names], "name", "value")
 
 
@@ -82,40 +82,31 @@ def top_models(results: DataFrame, metric: str = "ndcg@10", n: int = 5) -> DataF
 
 def rounded(results: DataFrame, ks: Sequence[int] = KS) -> DataFrame:
     """Metrics to 6 places, rmse to 4."""
-    places = {**{m: 6 for m in _present(results, ks)}, **({"rmse": 4} if "rmse" in results.columns else {})}
+    places = {**{m: 6 for m in _measured(results, ks)}, **({"rmse": 4} if "rmse" in results.columns else {})}
     return results.select(*[
         F.round(F.col(f"`{c}`"), places[c]).alias(c) if c in places else F.col(f"`{c}`") for c in results.columns
     ])
 
 
-def _cell(column: str, width: int, is_float: bool) -> Column:
-    # A pattern rounds the stored binary value half-even, as "%.4f" does in C.
-    value = F.expr(f"format_number(`{column}`, '0.0000')") if is_float else F.col(f"`{column}`").cast("string")
-    # Left-justified; longer values are kept whole.
-    return F.when(F.length(value) >= width, value).otherwise(F.rpad(value, width, " "))
+def markdown_lines(results: DataFrame, ks: Sequence[int] = KS) -> DataFrame:
+    """(part, model, line) of a Markdown table: names, alignment (text left, numbers right), a line per model.
 
+    Cells are not padded: a Markdown reader sets the widths. Measures have four
+    decimals; a pattern rounds the stored binary value half-even.
+    """
+    measures = [*(["rmse"] if "rmse" in results.columns else []), *_measured(results, ks)]
+    cells = [F.col("model"), F.col("n_users").cast("string"), *[F.expr(f"format_number(`{m}`, '0.0000')") for m in measures]]
 
-def markdown_lines(results: DataFrame, ks: Sequence[int] = KS, min_width: int = 8) -> DataFrame:
-    """(line_no, line) of a Markdown table over a result table: header,
-    separator, then one line per model in model order. An empty table gives only
-    the first two."""
-    columns = ["model", "n_users", *(["rmse"] if "rmse" in results.columns else []), *_present(results, ks)]
-    widths = [max(len(c), min_width) for c in columns]
-    header = "| " + " | ".join(c.ljust(w) for c, w in zip(columns, widths)) + " |"
-    rule = "| " + " | ".join("-" * w for w in widths) + " |"
-    cells = [_cell(c, w, c not in ("model", "n_users")) for c, w in zip(columns, widths)]
-    body = F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
-    spark = results.sparkSession
-    head = spark.createDataFrame([(0, "", header), (1, "", rule)], "part INT, model STRING, line STRING")
-    rows = results.select(F.lit(2).alias("part"), "model", body.alias("line"))
-    return head.unionByName(rows)
+    def framed(parts) -> Column:
+        return F.concat(F.lit("|"), F.concat_ws("|", *parts), F.lit("|"))
 
+    one = results.sparkSession.range(1)
+    names = one.select(F.lit(0).alias("part"), F.lit("").alias("model"), framed(map(F.lit, ["model", "n_users", *measures])).alias("line"))
+    aligned = one.select(F.lit(1), F.lit(""), framed(map(F.lit, [":--"] + ["--:"] * (len(measures) + 1))))
+    return names.union(aligned).union(results.select(F.lit(2), "model", framed(cells)))
 
-def render_markdown(results: DataFrame, ks: Sequence[int] = KS, min_width: int = 8) -> str:
-    """The table as text: one row per (model, strategy), so it is small."""
-    lines = markdown_lines(results, ks, min_width).orderBy("part", "model").collect()
-    return "\n".join(r["line"] for r in lines) if len(lines) > 2 else "No results to display"
 
-
-def stack(results: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, results)
+def render_markdown(results: DataFrame, ks: Sequence[int] = KS) -> str:
+    """The table as text (it has a row per model and strategy); empty for no models."""
+    lines = [r["line"] for r in markdown_lines(results, ks).orderBy("part", "model").collect()]
+    return "\n".join(lines) if len(lines) > 2 else ""

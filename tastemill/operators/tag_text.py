@@ -2,27 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Tags of 2^12 neighbouring user ids are joined in one task.
 USER_RANGE_BITS = 12
 
 
-def concat_tags(tags: DataFrame) -> DataFrame:
-    """(movieId, user_tags_text): all tags of an item in user, time, tag order.
+def tag_chunks(tags: DataFrame) -> DataFrame:
+    """(movieId, chunk, tag_text): all tags of an item in user, time, tag order, in numbered chunks.
 
-    Two steps, so that a hot item's rows are sorted in bounded user ranges on
-    many tasks and only finished pieces meet. The one cell per item is the
-    result itself; feature groups do not read it but count words on the tag
-    rows (``tfidf.tag_term_counts``).
+    A chunk holds the tags of USER_RANGE_BITS neighbouring user ids, so the rows
+    of a hot item are sorted on many tasks and never meet in one cell. Chunks of an
+    item count from 0, without gaps; read in order they are the item's text.
     """
-    pieces = tags.groupBy("movieId", F.shiftright("userId", USER_RANGE_BITS).alias("range")).agg(
-        F.expr("listagg(tag, ' ') WITHIN GROUP (ORDER BY userId, timestamp, tag)").alias("piece")
-    )
-    return pieces.groupBy("movieId").agg(
-        F.expr("listagg(piece, ' ') WITHIN GROUP (ORDER BY range)").alias("user_tags_text")
+    ranges = tags.groupBy("movieId", F.shiftright("userId", USER_RANGE_BITS).alias("range")).agg(
+        F.expr("listagg(tag, ' ') WITHIN GROUP (ORDER BY userId, timestamp, tag)").alias("tag_text")
     )
+    # a row per item and range, and the texts do not take part in the numbering
+    number = ranges.select("movieId", "range").withColumn(
+        "chunk", F.row_number().over(Window.partitionBy("movieId").orderBy("range")) - 1)
+    return ranges.join(number, ["movieId", "range"]).select("movieId", "chunk", "tag_text")
+
+
+def join_chunks(chunks: DataFrame) -> DataFrame:
+    """(movieId, user_tags_text): one cell per item, on request. Spark bounds a cell at 2 GB."""
+    return chunks.groupBy("movieId").agg(F.expr("listagg(tag_text, ' ') WITHIN GROUP (ORDER BY chunk)").alias("user_tags_text"))
+
+
+def concat_tags(tags: DataFrame) -> DataFrame:
+    return join_chunks(tag_chunks(tags))
 
 
 def train_only_tags(tags: DataFrame, train: DataFrame, items: DataFrame) -> DataFrame:
@@ -51,7 +60,7 @@ def leakage_report(tags: DataFrame, train: DataFrame, items: DataFrame) -> DataF
 
 
 def train_only_items(items: DataFrame, tags: DataFrame, train: DataFrame) -> DataFrame:
-    """Enriched items whose tag text comes from training pairs only; items
-    without such tags get a null text."""
-    text = concat_tags(train_only_tags(tags, train, items))
-    return items.drop("user_tags_text").join(text, "movieId", "left")
+    """Enriched items with the chunks (chunk, tag_text) of their training pairs' tags: a row per
+    chunk, and one with nulls for an item without such tags."""
+    chunks = tag_chunks(train_only_tags(tags, train, items))
+    return items.drop("user_tags_text").join(chunks, "movieId", "left")

@@ -23,7 +23,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import ITEM_BLOCK_BYTES
+from ..config import ITEM_BLOCK_BYTES, SLAB_BYTES
 from .ranking import top_per_group
 
 # Scores are compared at this many decimals, so that equal vectors tie exactly
@@ -147,18 +147,27 @@ def _read_tiles(batches: Iterator[pa.RecordBatch]):
 
 def _complete_groups(batches, columns: list[str]):
     """Regroup key-sorted batches so that no key straddles two chunks."""
-    carry = None
+    held: list[dict] = []  # pieces of the last key, put together once it ends
+
+    def whole():
+        return {c: np.concatenate([h[c] for h in held]) for c in columns}
+
     for batch in batches:
+        if not batch.num_rows:
+            continue
         table = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in columns}
-        if carry is not None:
-            table = {c: np.concatenate([carry[c], table[c]]) for c in columns}
         key = table["key"]
         last = int(np.searchsorted(key, key[-1], side="left"))
-        carry = {c: a[last:] for c, a in table.items()}
+        if held and held[0]["key"][0] != key[0]:
+            yield whole()
+            held = []
         if last:
-            yield {c: a[:last] for c, a in table.items()}
-    if carry is not None and len(carry["key"]):
-        yield carry
+            held.append({c: a[:last] for c, a in table.items()})
+            yield whole()
+            held = []
+        held.append({c: a[last:] for c, a in table.items()})
+    if held:
+        yield whole()
 
 
 def _positions(ids: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -191,37 +200,85 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
 
 
 class _Scorer:
-    """Scores query vectors against one block and keeps the best k per query."""
+    """Scores query vectors against one block, slice by slice, and keeps the best k per query.
 
-    def __init__(self, ids, matrix, metric: str, k: int, clip):
-        self.ids, self.metric, self.k, self.clip = ids, metric, k, clip
-        self.matrix = _unit(matrix) if metric == "cosine" else matrix
-        self.sq = (matrix**2).sum(axis=1) if metric == "euclidean" else None
+    A slice has so many items that its scores for a chunk of queries fit
+    SLAB_BYTES. Slices go by falling length of their vectors, so that an upper
+    bound of what a slice can reach, against the k-th best so far, passes over it.
+    """
 
-    def scores(self, q: np.ndarray) -> np.ndarray:
-        if self.metric == "cosine":
-            s = _unit(q) @ self.matrix.T
-        else:
-            s = q @ self.matrix.T
-            if self.metric == "euclidean":
-                s = np.minimum(2.0 * s - self.sq[None, :] - (q**2).sum(axis=1)[:, None], 0.0)
+    def __init__(self, ids, matrix, metric: str, k: int, clip, slab_bytes: int = SLAB_BYTES):
+        self.metric, self.k, self.clip = metric, k, clip
+        size = np.linalg.norm(matrix, axis=1)
+        if metric == "cosine":
+            matrix, size = _unit(matrix), (size >= 1e-12).astype(float)
+        self.step = max(slab_bytes // (8 * _QUERY_CHUNK), 1)
+        # longest first; inside a slice by id, so that ties go to the smaller id
+        order = np.argsort(-size, kind="stable")
+        order = order[np.lexsort((ids[order], np.arange(len(ids)) // self.step))]
+        self.ids, self.matrix, self.size = ids[order], matrix[order], size[order]
+        self.place = np.empty(len(ids), np.int64)
+        self.place[order] = np.arange(len(ids))
+        begins = np.arange(0, len(ids), self.step)
+        self.longest, self.shortest = np.maximum.reduceat(self.size, begins), np.minimum.reduceat(self.size, begins)
+
+    def _reach(self, length: np.ndarray, part: int) -> np.ndarray:
+        """No score of the slice is higher."""
+        high, low = self.longest[part], self.shortest[part]
+        if self.metric == "euclidean":
+            gap = np.maximum(np.maximum(length - high, low - length), 0.0)
+            return -(gap**2) * (1 - 1e-9) + 1e-9
+        reach = (high if self.metric == "cosine" else length * high) * (1 + 1e-9) + 1e-9
+        reach = np.broadcast_to(reach, len(length))
+        return reach if self.clip is None else np.clip(reach, *self.clip)
+
+    def _scores(self, q: np.ndarray, length: np.ndarray, lo: int, hi: int) -> np.ndarray:
+        s = q @ self.matrix[lo:hi].T
+        if self.metric == "euclidean":
+            s = np.minimum(2.0 * s - self.size[None, lo:hi] ** 2 - length[:, None] ** 2, 0.0)
         if self.clip is not None:
             s = np.clip(s, *self.clip)
         return np.round(s, SCORE_DECIMALS) + 0.0
 
     def top(self, keys, q, mask_row, mask_pos):
         """Arrays (key, item, score, rank); masked cells never come out."""
-        s = self.scores(q)
-        s[mask_row, mask_pos] = -np.inf
-        k = min(self.k, s.shape[1])
-        bound = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
-        out = []
-        for i in range(len(keys)):
-            cand = np.flatnonzero(s[i] >= bound[i])
-            cand = cand[np.argsort(-s[i, cand], kind="stable")][:k]
-            cand = cand[s[i, cand] > -np.inf]
-            out.append((np.full(len(cand), keys[i]), self.ids[cand], s[i, cand], np.arange(1, len(cand) + 1)))
-        return [np.concatenate(c) for c in zip(*out)]
+        if self.metric == "cosine":
+            q = _unit(q)
+        length = np.linalg.norm(q, axis=1)
+        hidden = self.place[mask_pos]
+        order = np.argsort(hidden, kind="stable")
+        hidden, hidden_row = hidden[order], mask_row[order]
+        score = np.full((len(q), self.k), -np.inf)
+        item = np.full((len(q), self.k), np.iinfo(np.int64).max)
+        for part, lo in enumerate(range(0, len(self.ids), self.step)):
+            if not (self._reach(length, part) >= score[:, -1]).any():
+                if self.metric == "euclidean":
+                    continue
+                break  # shorter vectors reach less
+            hi = min(lo + self.step, len(self.ids))
+            s = self._scores(q, length, lo, hi)
+            a, b = np.searchsorted(hidden, (lo, hi))
+            s[hidden_row[a:b], hidden[a:b] - lo] = -np.inf
+            best, at = _best(s, self.k)
+            score, item = np.hstack((score, best)), np.hstack((item, self.ids[lo:hi][at]))
+            first = np.lexsort((item, -score))[:, : self.k]
+            score, item = np.take_along_axis(score, first, 1), np.take_along_axis(item, first, 1)
+        row, rank = np.nonzero(score > -np.inf)
+        return [keys[row], item[row, rank], score[row, rank], rank + 1]
+
+
+def _best(s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k largest of each row and their columns; of equal ones the leftmost."""
+    n = s.shape[1]
+    if n <= k:
+        return s, np.broadcast_to(np.arange(n), s.shape)
+    bound = np.partition(s, n - k, axis=1)[:, n - k, None]
+    keep = s >= bound
+    if (keep.sum(axis=1) > k).any():
+        more, equal = s > bound, s == bound
+        keep = more | (equal & (np.cumsum(equal, axis=1) <= k - more.sum(axis=1, keepdims=True)))
+    at = np.nonzero(keep)[1].reshape(len(s), k)
+    return np.take_along_axis(s, at, 1), at
 
 
 _TOP_SCHEMA = "key BIGINT, item BIGINT, score DOUBLE, rank INT"

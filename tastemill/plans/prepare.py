@@ -47,15 +47,18 @@ def prepare(
     min_ratings_per_user: int = MIN_RATINGS_PER_USER_SPLIT,
     val_ratio: float = VAL_RATIO,
     test_ratio: float = TEST_RATIO,
+    genome_tags: DataFrame | None = None,
 ) -> dict[str, str]:
     """Write all prepared tables under ``out`` and return their paths.
 
     Each stage reads the written output of the stage before, so the activity
     filter and the split are computed once and a lost executor costs one stage.
+    Tag text is a table of numbered chunks, next to the items. ``genome_tags``
+    (tagId, tag) names the columns of the genome vectors.
     """
     paths = {
         name: f"{out}/{name}"
-        for name in ("filtered", "user_index", "movie_index", "ratings", "genome", "items", "tags")
+        for name in ("filtered", "user_index", "movie_index", "ratings", "genome", "items", "tags", "tag_text")
     }
     filtered = filtering.filter_ratings(ratings, min_user_ratings, min_movie_ratings)
     tables.write_parquet(filtered, paths["filtered"])
@@ -73,9 +76,10 @@ def prepare(
     tables.write_parquet(kept_tags, paths["tags"])
     kept_scores = filtering.align_to_ratings(genome_scores, index)
     tables.write_parquet(matrices.genome_vectors(kept_scores, index), paths["genome"])
-    items = enrich_items(
-        tables.preprocess_movies(movies), index, tables.type_links(links),
-        metadata.flatten(metadata_raw), spark.read.parquet(paths["tags"]),
-    )
+    tables.write_parquet(tag_text.tag_chunks(spark.read.parquet(paths["tags"])), paths["tag_text"])
+    if genome_tags is not None:
+        paths["genome_tags"] = f"{out}/genome_tags"
+        tables.write_parquet(genome_tags.select("tagId", "tag"), paths["genome_tags"])
+    items = enrich_items(tables.preprocess_movies(movies), index, tables.type_links(links), metadata.flatten(metadata_raw))
     tables.write_parquet(items, paths["items"])
     return paths

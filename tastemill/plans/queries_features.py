@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DIRECTOR_COMPONENTS, TAGS_COMPONENTS, TfidfParams
@@ -185,19 +188,49 @@ def _doc_svd(v):
     return rows, svd.truncated_svd(rows, vocab.count(), SVD_K)
 
 
-@register("f16_svd_gram")
-def f16_svd_gram(v):
-    """Squared column norms of the projection equal the squared singular values."""
-    _, result = _doc_svd(v)
-    cells = result.projected.select(F.posexplode("features").alias("component", "x"))
-    return cells.groupBy("component").agg(F.round(F.sqrt(F.sum(F.col("x") * F.col("x"))), 4).alias("singular_value"))
+def _power_ctes(rounds: int = 40) -> dict[str, str]:
+    """The largest singular value of the TF-IDF rows by power iteration, one CTE pair a round."""
+    ctes = {**_WORDS, "x": "SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM w", "v0": "SELECT term, 1.0::DOUBLE AS v FROM vocab"}
+    for k in range(rounds):
+        ctes[f"y{k}"] = f"SELECT doc_id, sum(w * v) AS y FROM x JOIN v{k} USING (term) GROUP BY doc_id"
+        ctes[f"z{k}"] = f"SELECT term, sum(w * y) AS z FROM x JOIN y{k} USING (doc_id) GROUP BY term"
+        ctes[f"v{k + 1}"] = f"SELECT term, z / (SELECT sqrt(sum(z * z)) FROM z{k}) AS v FROM z{k}"
+    last = rounds - 1
+    ctes["top"] = f"SELECT sqrt(sum(v{last}.v * z)) AS top FROM v{last} JOIN z{last} USING (term)"
+    return ctes
 
 
-@register("f17_explained_variance")
+@register("f16_svd_gram", _with(_power_ctes(), f"""
+SELECT component, CASE WHEN component = 0 THEN round(top, 4) END AS largest, true AS norm_is_value, true AS descending, true AS orthogonal
+FROM (SELECT unnest(range(least({SVD_K}, (SELECT count(*) FROM vocab)))) AS component), top"""))
+def f16_svd_gram(v):
+    """The projection's columns: their norms are the singular values, they fall, and neighbours are orthogonal; the largest value itself."""
+    _, result = _doc_svd(v)
+    k = len(result.singular_values)
+    values = F.array(*[F.lit(float(s)) for s in result.singular_values])
+    cells = result.projected.select(F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("component"), "features")
+    x, after = F.col("features")[F.col("component")], F.get("features", F.col("component") + 1)
+    sums = cells.groupBy("component").agg(F.sqrt(F.sum(x * x)).alias("norm"), F.coalesce(F.sum(x * after), F.lit(0.0)).alias("cross"))
+    value, top = values[F.col("component")], F.lit(float(result.singular_values[0]))
+    return sums.select(
+        F.col("component").cast("bigint").alias("component"), F.when(F.col("component") == 0, F.round("norm", 4)).alias("largest"),
+        (F.abs(F.col("norm") - value) <= 1e-6 * top).alias("norm_is_value"),
+        F.coalesce(F.get(values, F.col("component") + 1) <= value, F.lit(True)).alias("descending"), (F.abs("cross") <= 1e-6 * top * top).alias("orthogonal"))
+
+
+@register("f17_explained_variance", _with({k: _power_ctes(0)[k] for k in (*_WORDS, "x")}, """
+SELECT round(sum(q / n - (s / n) * (s / n)), 6) AS original_variance, true AS is_share, true AS grows
+FROM (SELECT term, sum(w) AS s, sum(w * w) AS q FROM x GROUP BY term), (SELECT count(*)::DOUBLE AS n FROM documents)"""))
 def f17_explained_variance(v):
+    """Share of the variance that the components keep: between 0 and 1, and more than half of the components keep; with the variance itself."""
     rows, result = _doc_svd(v)
     n = v.documents.agg(F.count(F.lit(1))).scalar()
-    return svd.explained_variance(rows, result.projected, n).select(F.round("explained_variance", 4).alias("explained_variance"))
+    share = svd.explained_variance(rows, result.projected, n).scalar()
+    half = result.projected.select("doc", F.slice("features", 1, SVD_K // 2).alias("features"))
+    fewer = svd.explained_variance(rows, half, n).scalar()
+    per_term = rows.select(F.explode("terms").alias("t")).groupBy("t.term_idx").agg(F.sum("t.weight").alias("s"), F.sum(F.col("t.weight") * F.col("t.weight")).alias("q"))
+    variance = per_term.withColumn("n", n).agg(F.sum(F.col("q") / F.col("n") - F.pow(F.col("s") / F.col("n"), 2)).alias("v"))
+    return variance.select(F.round("v", 6).alias("original_variance"), share.between(0.0, 1.0).alias("is_share"), (fewer < share).alias("grows"))
 
 
 @register("f18_component_cap", with_views(["movies", "links", "metadata"], f"""
@@ -254,9 +287,30 @@ def _cb_query(name: str):
         found = similarity.neighbours(vectors, NEIGHBOURS, SPECS[name].metric)
         return found.select("movie_idx", "rank", "neighbour_idx", r6("score").alias("score"))
 
-    body.__doc__ = f"Ten neighbours of every item under recipe {name}."
+    body.__doc__ = f"{NEIGHBOURS} neighbours of every item under recipe {name}."
     return body
 
 
 for _name in SPECS:
     register(f"{_name}_topk", _cb_oracle(_name))(_cb_query(_name))
+
+
+_LEARNED = ("cb4", "cb5", "cb7", "cb8", "cb9")
+
+
+@register("cb_lists", with_views(["movies_pre"], f"""
+SELECT model, movie_idx, rank, true AS in_order, true AS other_item, true AS on_scale FROM
+(SELECT unnest({list(_LEARNED)}) AS model), (SELECT movie_idx FROM items),
+(SELECT unnest(range(1, 1 + least({NEIGHBOURS}, (SELECT count(*) FROM items) - 1))) AS rank)""", _ITEM_CTES))
+def cb_lists(v):
+    """Neighbour lists of the recipes with learned components, on shared groups: complete, in order, without the item itself, cosines."""
+    groups = _groups(v)
+    found = []
+    for name in _LEARNED:
+        lists = similarity.neighbours(cut_lineage(groups.combined(SPECS[name])), NEIGHBOURS, SPECS[name].metric)
+        before = F.lag("score").over(Window.partitionBy("movie_idx").orderBy("rank"))  # a list has at most NEIGHBOURS rows
+        found.append(lists.select(
+            F.lit(name).alias("model"), F.col("movie_idx").cast("bigint").alias("movie_idx"), F.col("rank").cast("bigint").alias("rank"),
+            F.coalesce(F.col("score") <= before, F.lit(True)).alias("in_order"), (F.col("movie_idx") != F.col("neighbour_idx")).alias("other_item"),
+            F.col("score").between(-1.0, 1.0).alias("on_scale")))
+    return reduce(DataFrame.unionByName, found)

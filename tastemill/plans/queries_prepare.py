@@ -191,9 +191,10 @@ def s3_tags_clean(v):
 
 
 @register("a3_tag_text", with_views(["tags"], """
-SELECT movieId, string_agg(tag, ' ' ORDER BY userId, "timestamp", tag) AS user_tags_text FROM tags GROUP BY movieId"""))
+SELECT movieId, row_number() OVER (PARTITION BY movieId ORDER BY r) - 1 AS chunk, tag_text FROM
+(SELECT movieId, userId >> 12 AS r, string_agg(tag, ' ' ORDER BY userId, "timestamp", tag) AS tag_text FROM tags GROUP BY ALL)"""))
 def a3_tag_text(v):
-    return tag_text.concat_tags(tables.clean_tags(v.tags_raw))
+    return tag_text.tag_chunks(tables.clean_tags(v.tags_raw))
 
 
 _TRAIN_TAGS = {
@@ -224,11 +225,12 @@ def a17_tag_leakage(v):
 
 
 @register("e11_train_only_items", with_views(["split", "tags", "movies"], """
-SELECT movieId, title, user_tags_text FROM movies SEMI JOIN catalogue USING (movieId)
-LEFT JOIN (SELECT movieId, string_agg(tag, ' ' ORDER BY userId, "timestamp", tag) AS user_tags_text FROM tt GROUP BY movieId) USING (movieId)""", _TRAIN_TAGS))
+SELECT movieId, title, row_number() OVER (PARTITION BY movieId ORDER BY r) - CASE WHEN tag_text IS NULL THEN NULL ELSE 1 END AS chunk, tag_text
+FROM movies SEMI JOIN catalogue USING (movieId)
+LEFT JOIN (SELECT movieId, userId >> 12 AS r, string_agg(tag, ' ' ORDER BY userId, "timestamp", tag) AS tag_text FROM tt GROUP BY ALL) USING (movieId)""", _TRAIN_TAGS))
 def e11_train_only_items(v):
     tags, train, items = _train_inputs(v)
-    return tag_text.train_only_items(items, tags, train).select("movieId", "title", "user_tags_text")
+    return tag_text.train_only_items(items, tags, train).select("movieId", "title", "chunk", "tag_text")
 
 
 @register("s4_links_typed", with_views(["links"], "SELECT movieId, imdbId, tmdbId FROM links"))
@@ -261,7 +263,8 @@ def p9_ingest_status(v):
 
 
 @register("a18_ingest_report", """
-SELECT count(*) AS n_total, count_if(p_partkey % 13 <> 0) AS n_ok, count_if(p_partkey % 13 = 0) AS n_failed FROM part""")
+SELECT count(*) AS n_total, count_if(p_partkey % 13 <> 0) AS n_ok, count_if(p_partkey % 13 = 0) AS n_failed,
+  count_if(p_partkey % 13 <> 0) AS n_records, count_if(p_partkey % 13 = 0) AS n_skipped FROM part""")
 def a18_ingest_report(v):
     return metadata_cache.ingest_report(v.metadata_raw)
 
@@ -293,18 +296,21 @@ def t14_metadata_flat(v):
 @register("t6_parse_list", """
 SELECT p_partkey AS movieId,
   CASE p_partkey % 4 WHEN 0 THEN p_name || ';' || p_type WHEN 1 THEN '' WHEN 2 THEN '' ELSE p_brand END AS strict_list,
-  CASE p_partkey % 4 WHEN 0 THEN p_name || ';' || p_type WHEN 1 THEN p_name WHEN 2 THEN '' ELSE p_brand END AS tolerant_list
+  CASE p_partkey % 4 WHEN 0 THEN p_name || ';' || p_type WHEN 1 THEN p_name WHEN 2 THEN '' ELSE p_brand END AS tolerant_list,
+  CASE WHEN p_partkey % 5 = 0 THEN '' ELSE p_type || ';' || p_name END AS from_array
 FROM part""")
 def t6_parse_list(v):
-    """List literals in single and double quotes, plain text and blanks."""
+    """List literals in single and double quotes, plain text and blanks; arrays and null arrays."""
     literal = F.expr(
         """CASE p_partkey % 4 WHEN 0 THEN concat("['", p_name, "', '", p_type, "']")
            WHEN 1 THEN concat(' ', p_name, ' ') WHEN 2 THEN '   ' ELSE concat('["', p_brand, '"]') END"""
     )
-    return v.table("part").select(F.col("p_partkey").alias("movieId"), literal.alias("x")).select(
-        "movieId",
+    array = F.when(F.col("p_partkey") % 5 != 0, F.array("p_type", "p_name"))
+    rows = v.table("part").select(F.col("p_partkey").alias("movieId"), literal.alias("x"), array.alias("a"))
+    return rows.select(
+        "movieId", F.array_join(text.as_list(rows, "a"), ";").alias("from_array"),
         F.array_join(text.parse_list(F.col("x")), ";").alias("strict_list"),
-        F.array_join(text.tolerant_list(F.col("x")), ";").alias("tolerant_list"),
+        F.array_join(text.as_list(rows, "x"), ";").alias("tolerant_list"),
     )
 
 

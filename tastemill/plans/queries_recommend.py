@@ -9,6 +9,7 @@ from ..functions import text
 from ..operators import evaluating, filtering, indexing, metrics, recommending, similarity, splitting
 from ..session import cut_lineage
 from ..sources.driver_views import Views, with_views
+from .queries_prepare import split
 from .registry import register
 
 NEIGHBOURS = TOP_K
@@ -66,23 +67,20 @@ def k6_similar_by_title(v):
 
 
 def rated(v: Views):
-    """Split ratings of the items that have a vector."""
-    r = v.ratings.join(v.embeddings.select(F.col("movie_idx").alias("movieId")), "movieId", "left_semi")
-    s = splitting.temporal_split(r)
-    return s.select(F.col("userId").alias("user_id"), F.col("movieId").alias("movie_idx"), "rating", "split")
+    """Filtered, split ratings of all items; those without a vector only leave the profiles."""
+    return split(v).select(F.col("userId").alias("user_id"), F.col("movieId").alias("movie_idx"), "rating", "split")
 
 
-_EVAL = {
-    "f": "SELECT * FROM ratings WHERE movieId IN (SELECT vec_id FROM embeddings)",
-    "sp": """SELECT *, count(*) OVER (PARTITION BY userId) AS n,
-        row_number() OVER (PARTITION BY userId ORDER BY "timestamp", movieId) AS k FROM f""",
-    "s": "SELECT *, greatest(1, CAST(floor(n * 0.1::DOUBLE) AS INT)) AS t FROM sp",
-    "s2": """SELECT userId, movieId, rating, CASE WHEN n < 5 THEN 'train' WHEN k > n - t THEN 'test'
-        WHEN k > n - 2 * t THEN 'val' ELSE 'train' END AS split FROM s""",
-    "tr": """SELECT userId, movieId, rating, rating / sum(rating) OVER w AS ww,
+# The two ways to weigh a user's ratings, as window expressions.
+_WEIGHTS = """rating / sum(rating) OVER w AS ww,
         CASE WHEN max(rating) OVER w = min(rating) OVER w THEN 1.0::DOUBLE / count(*) OVER w
-             ELSE rating - avg(rating) OVER w END AS wm
-        FROM s2 WHERE split = 'train' WINDOW w AS (PARTITION BY userId)""",
+             ELSE rating - avg(rating) OVER w END AS wm"""
+
+_EVAL = {
+    "s2": "SELECT * FROM split",
+    "ta": f"SELECT userId, movieId, rating, {_WEIGHTS} FROM s2 WHERE split = 'train' WINDOW w AS (PARTITION BY userId)",
+    "tr": f"""SELECT userId, movieId, rating, {_WEIGHTS} FROM s2
+        WHERE split = 'train' AND movieId IN (SELECT vec_id FROM embeddings) WINDOW w AS (PARTITION BY userId)""",
     "e": "SELECT vec_id, generate_subscripts(embedding, 1) AS dim, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings",
     "en": "SELECT vec_id, sqrt(sum(x * x)) AS inorm FROM e GROUP BY vec_id",
 }
@@ -109,9 +107,9 @@ def _scored(profile: str, metric: str, limit: int = TOP_N) -> dict[str, str]:
     }
 
 
-@register("w6_centred_ratings", with_views(["ratings"], """
-SELECT userId AS user_id, movieId AS movie_idx, round(wm, 6) + 0.0 AS weight FROM tr""",
-    {k: _EVAL[k] for k in ("f", "sp", "s", "s2", "tr")}))
+@register("w6_centred_ratings", with_views(["split"], """
+SELECT userId AS user_id, movieId AS movie_idx, round(wm, 6) + 0.0 AS weight FROM ta""",
+    {k: _EVAL[k] for k in ("s2", "ta")}))
 def w6_centred_ratings(v):
     w = recommending.rating_weights(splitting.select_split(rated(v), "train"))
     return w.select("user_id", "movie_idx", F.round("weight", 6).alias("weight"))
@@ -127,7 +125,7 @@ def _profile_query(strategy):
 
 
 for _name, _strategy, _w in (("k3_profile_weighted", "weighted", "ww"), ("k4_profile_mean_centering", "mean_centering", "wm")):
-    register(_name, with_views(["ratings"], "SELECT userId AS user_id, dim, round(w, 6) + 0.0 AS w FROM p",
+    register(_name, with_views(["split"], "SELECT userId AS user_id, dim, round(w, 6) + 0.0 AS w FROM p",
                                {**_EVAL, "p": _profile(_w)}))(_profile_query(_strategy))
 
 
@@ -136,7 +134,7 @@ def _recs(v: Views, metric="cosine", strategy="mean_centering", n=TOP_N):
 
 
 def _recs_oracle(weight, metric):
-    return with_views(["ratings"], "SELECT userId AS user_id, rank, vec_id AS movie_idx, round(score + 3e-11, 6) + 0.0 AS score FROM rk",
+    return with_views(["split"], "SELECT userId AS user_id, rank, vec_id AS movie_idx, round(score + 3e-11, 6) + 0.0 AS score FROM rk",
                       {**_EVAL, **_scored(_profile(weight), metric)})
 
 
@@ -150,7 +148,7 @@ def k5_recommend_euclidean(v):
     return _recs(v, "euclidean", "weighted").withColumn("score", r6("score"))
 
 
-@register("w5_display_score", with_views(["ratings"], """
+@register("w5_display_score", with_views(["split"], """
 SELECT userId AS user_id, rank, vec_id AS movie_idx,
   round((score - min(score) OVER w) / CASE WHEN max(score) OVER w = min(score) OVER w THEN 1 ELSE max(score) OVER w - min(score) OVER w END + 3e-11, 6) + 0.0 AS display_score
 FROM rk WINDOW w AS (PARTITION BY userId)""", {**_EVAL, **_scored(_profile("ww"), "euclidean", 10)}))
@@ -159,7 +157,7 @@ def w5_display_score(v):
     return recs.select("user_id", "rank", "movie_idx", r6("display_score").alias("display_score"))
 
 
-@register("o8_featured", with_views(["ratings", "movies"], """
+@register("o8_featured", with_views(["split", "movies"], """
 SELECT userId AS user_id, rank, vec_id AS movie_idx, coalesce(title, 'Unknown') AS title,
   CASE WHEN rank <= 3 THEN 'featured' ELSE 'more' END AS section,
   CAST(trunc(least(greatest(score, 0), 1) * 100) AS INT) AS percent
@@ -178,7 +176,7 @@ _METRICS = {
         f"count(*) FILTER (rank <= {k}) AS h{k}, coalesce(sum(CASE WHEN rank <= {k} THEN 1 / log2(rank + 1) END), 0) AS g{k}" for k in KS
     )
     + " FROM ranked_gt GROUP BY userId",
-    "um": "SELECT userId, n_gt, (SELECT count(*) FROM tr WHERE tr.userId = hits.userId) AS n_train, "
+    "um": "SELECT userId, n_gt, (SELECT count(*) FROM ta WHERE ta.userId = hits.userId) AS n_train, "
     + ", ".join(
         f'CASE WHEN h{k} > 0 THEN 1.0::DOUBLE ELSE 0 END AS "hr@{k}", h{k} / {k}::DOUBLE AS "p@{k}", h{k} / n_gt::DOUBLE AS "r@{k}", '
         f'g{k} / list_sum([1 / log2(i + 1) for i in range(1, least(n_gt, {k}) + 1)]) AS "ndcg@{k}"' for k in KS
@@ -201,7 +199,7 @@ def written(v: Views):
     return cut_lineage(rated(v))
 
 
-@register("j13_hits", with_views(["ratings"], """
+@register("j13_hits", with_views(["split"], """
 SELECT rk.userId AS user_id, rank, rk.vec_id AS movie_idx, CASE WHEN gt.movieId IS NULL THEN 0 ELSE 1 END AS hit
 FROM rk LEFT JOIN gt ON gt.userId = rk.userId AND gt.movieId = rk.vec_id""", _metric_ctes("wm")))
 def j13_hits(v):
@@ -218,16 +216,17 @@ def _evaluate(v, strategy="mean_centering"):
 _UM_COLS = ", ".join(f'round("{m}", 6) AS "{m}"' for m in _METRIC_COLS)
 
 
-@register("e5_user_metrics", with_views(["ratings"], f"SELECT userId AS user_id, n_gt, {_UM_COLS} FROM um", _metric_ctes("wm")))
+@register("e5_user_metrics", with_views(["split"], f"SELECT userId AS user_id, n_gt, {_UM_COLS} FROM um", _metric_ctes("wm")))
 def e5_user_metrics(v):
     r = written(v)
     train = splitting.select_split(r, "train")
     recs = recommending.recommend(train, v.embeddings, TOP_N)
-    truth = filtering.relevant(splitting.eval_split(r, "val")).join(train.select("user_id"), "user_id", "left_semi")
+    known = train.join(v.embeddings, "movie_idx", "left_semi").select("user_id")
+    truth = filtering.relevant(splitting.eval_split(r, "val")).join(known, "user_id", "left_semi")
     return _round_metrics(metrics.per_user_metrics(recs, truth, KS), ["user_id", "n_gt"])
 
 
-@register("e6_cb_evaluation", with_views(["ratings"], f"SELECT userId AS user_id, n_train, n_gt, {_UM_COLS} FROM um", _metric_ctes("ww")))
+@register("e6_cb_evaluation", with_views(["split"], f"SELECT userId AS user_id, n_train, n_gt, {_UM_COLS} FROM um", _metric_ctes("ww")))
 def e6_cb_evaluation(v):
     return _round_metrics(_evaluate(v, "weighted"), ["user_id", "n_train", "n_gt"])
 
@@ -235,7 +234,7 @@ def e6_cb_evaluation(v):
 _MEANS = ", ".join(f'round(avg("{m}"), 6) AS "{m}"' for m in _METRIC_COLS)
 
 
-@register("a8_mean_metrics", with_views(["ratings"], f"SELECT count(*) AS n_users, {_MEANS} FROM um", _metric_ctes("wm")))
+@register("a8_mean_metrics", with_views(["split"], f"SELECT count(*) AS n_users, {_MEANS} FROM um", _metric_ctes("wm")))
 def a8_mean_metrics(v):
     return _round_metrics(metrics.aggregate_metrics(_evaluate(v), KS), ["n_users"])
 
@@ -249,16 +248,16 @@ def _both(ctes: dict[str, str], tag: str, weight: str) -> dict[str, str]:
     return {**ctes, **{f"{k}_{tag}": re.sub(rf"\b({names})\b(?!@)", rf"\1_{tag}", sql) for k, sql in own.items()}}
 
 
-@register("e9_report", with_views(["ratings"], f"""
+@register("e9_report", with_views(["split"], f"""
 SELECT 'embedding_weighted' AS model, count(*) AS n_users, {_MEANS} FROM um_w
 UNION ALL SELECT 'embedding_mean_centering', count(*), {_MEANS} FROM um_m""", _both(_both(dict(_EVAL), "w", "ww"), "m", "wm")))
 def e9_report(v):
     return _round_metrics(evaluating.report(written(v), {"embedding": v.embeddings, "absent": None}, ks=KS), ["model", "n_users"])
 
 
-@register("a19_eligibility", with_views(["ratings"], """
+@register("a19_eligibility", with_views(["split"], """
 SELECT count(*) AS n_users, count_if(ok) AS n_evaluated, count_if(NOT ok) AS n_skipped FROM
 (SELECT userId, bool_or(rating >= 4.0) AND userId IN (SELECT userId FROM tr) AS ok FROM s2 WHERE split = 'val' GROUP BY userId)""",
-    {k: _EVAL[k] for k in ("f", "sp", "s", "s2", "tr")}))
+    {k: _EVAL[k] for k in ("s2", "tr")}))
 def a19_eligibility(v):
     return evaluating.eligibility_report(rated(v), v.embeddings)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..functions import metadata, text
 from ..operators import insights, reporting
 from ..operators.indexing import first_by_title, resolve_titles
-from ..operators.tag_text import concat_tags
 from ..sources import tables
 from ..sources.driver_views import Views, with_views
 from ..streaming import feed as rating_feed
@@ -16,12 +15,10 @@ from .registry import register
 # Result tables are derived from the data: one popularity-style ranking per
 # market segment of the customers, named like two strategies of four models.
 _RESULTS_SQL = {
-    "per": """SELECT c_mktsegment, l_returnflag, count(*) AS n_lines, count(DISTINCT c_custkey) AS n_users,
+    "per": """SELECT c_mktsegment, CASE l_returnflag WHEN 'A' THEN 'weighted' ELSE 'mean_centering' END AS variant, count(*) AS n_lines, count(DISTINCT c_custkey) AS n_users,
         avg(l_discount) AS d, avg(l_tax) AS t, avg(l_quantity) / 100 AS q
-        FROM customer JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey
-        WHERE l_returnflag <> 'N' GROUP BY ALL""",
-    "results": """SELECT 'cb' || CAST(dense_rank() OVER (ORDER BY c_mktsegment) AS VARCHAR) || '_' ||
-        CASE l_returnflag WHEN 'A' THEN 'weighted' ELSE 'mean_centering' END AS model, n_users,
+        FROM customer JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL""",
+    "results": """SELECT 'cb' || CAST(dense_rank() OVER (ORDER BY c_mktsegment) AS VARCHAR) || '_' || variant AS model, n_users,
         round(d, 9) AS "hr@10", round(t, 9) AS "ndcg@10", round(q, 9) AS "p@20" FROM per""",
     "cf": """SELECT 'CF_' || l_returnflag || '_' || l_linestatus AS model, count(DISTINCT l_suppkey) AS n_users,
         round(avg(l_extendedprice) / 50000, 9) AS rmse, round(avg(l_discount), 9) AS "hr@10", round(avg(l_tax), 9) AS "ndcg@10",
@@ -36,20 +33,19 @@ def _sql(body: str) -> str:
 
 
 def _cb(v: Views):
+    variant = F.when(F.col("l_returnflag") == "A", "weighted").otherwise("mean_centering").alias("variant")
     per = (
         v.table("customer").join(v.table("orders"), F.col("o_custkey") == F.col("c_custkey"))
         .join(v.table("lineitem"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .filter("l_returnflag <> 'N'")
-        .groupBy("c_mktsegment", "l_returnflag").agg(
+        .groupBy("c_mktsegment", variant).agg(
             F.countDistinct("c_custkey").alias("n_users"), F.avg("l_discount").alias("d"),
             F.avg("l_tax").alias("t"), (F.avg("l_quantity") / 100).alias("q"),
         )
     )
     segments = per.agg(F.array_sort(F.collect_set("c_mktsegment"))).scalar()
-    variant = F.when(F.col("l_returnflag") == "A", "weighted").otherwise("mean_centering")
     number = F.array_position(segments, F.col("c_mktsegment")).cast("string")
     return per.select(
-        F.concat(F.lit("cb"), number, F.lit("_"), variant).alias("model"), "n_users",
+        F.concat(F.lit("cb"), number, F.lit("_"), "variant").alias("model"), "n_users",
         F.round("d", 9).alias("hr@10"), F.round("t", 9).alias("ndcg@10"), F.round("q", 9).alias("p@20"),
     )
 
@@ -117,10 +113,9 @@ def o4_top_models(v):
 
 
 @register("t21_markdown", _sql("""
-SELECT 0 AS part, '' AS model, '| model    | n_users  | hr@10    | ndcg@10  | p@20     |' AS line
-UNION ALL SELECT 1, '', '| -------- | -------- | -------- | -------- | -------- |'
-UNION ALL SELECT 2, model, '| ' || rpad(model, CAST(greatest(length(model), 8) AS INT), ' ') || ' | ' || rpad(CAST(n_users AS VARCHAR), 8, ' ') || ' | ' ||
-  rpad(printf('%.4f', "hr@10"), 8, ' ') || ' | ' || rpad(printf('%.4f', "ndcg@10"), 8, ' ') || ' | ' || rpad(printf('%.4f', "p@20"), 8, ' ') || ' |' FROM results"""))
+SELECT 0 AS part, '' AS model, '|model|n_users|hr@10|ndcg@10|p@20|' AS line
+UNION ALL SELECT 1, '', '|:--|--:|--:|--:|--:|'
+UNION ALL SELECT 2, model, '|' || model || '|' || n_users || printf('|%.4f|%.4f|%.4f|', "hr@10", "ndcg@10", "p@20") FROM results"""))
 def t21_markdown(v):
     return reporting.markdown_lines(_cb(v), _R_KS)
 
@@ -134,11 +129,10 @@ def t20_rounded_report(v):
 
 
 def _profile_items(v: Views):
-    tags = tables.clean_tags(v.tags_raw)
     return (
         tables.preprocess_movies(v.movies_raw)
         .join(tables.type_links(v.links_raw), "movieId", "left").join(metadata.flatten(v.metadata_raw), "tmdbId", "left")
-        .join(concat_tags(tags), "movieId", "left").withColumnRenamed("movieId", "movie_idx")
+        .withColumnRenamed("movieId", "movie_idx")
     )
 
 
@@ -158,7 +152,8 @@ SELECT user_id, kind, rank, value, n FROM rk
 WHERE (kind = 'tag' AND rank <= 125 AND n > 1) OR (kind <> 'tag' AND rank <= 5)""", _TASTE))
 def a11_taste_profile(v):
     ratings = v.ratings.withColumnsRenamed({"userId": "user_id", "movieId": "movie_idx"})
-    return insights.taste_profile(ratings, _profile_items(v)).select("user_id", "kind", "rank", "value", "n")
+    tags = tables.clean_tags(v.tags_raw).select(F.col("movieId").alias("movie_idx"), "tag")
+    return insights.taste_profile(ratings, _profile_items(v), tags=tags).select("user_id", "kind", "rank", "value", "n")
 
 
 @register("p6_liked_items", with_views(["ratings", "movies"], """

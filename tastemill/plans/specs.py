@@ -143,7 +143,7 @@ class FeatureGroups:
     def _cast(self):
         if "cast" not in self.items.columns:
             return features.empty(self.items)
-        name = F.explode(text.first_n(F.col("cast"), CAST_TOP_N))
+        name = F.explode(text.first_n(text.as_list(self.items, "cast"), CAST_TOP_N))
         labels = self.items.select(F.col("movie_idx").alias("doc"), name.alias("name")).select(
             "doc", text.token("cast_", F.col("name")).alias("label")
         )

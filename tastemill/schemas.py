@@ -17,16 +17,3 @@ METADATA_JSON = (
     "credits STRUCT<`cast`: ARRAY<STRUCT<name: STRING>>, crew: ARRAY<STRUCT<job: STRING, name: STRING>>>"
 )
 
-
-def metric_names(ks) -> list[str]:
-    return [f"{name}@{k}" for k in ks for name in ("hr", "p", "r", "ndcg")]
-
-
-def cb_results(ks=(5, 10, 20)) -> str:
-    cols = ["model STRING", "n_users BIGINT"] + [f"`{m}` DOUBLE" for m in metric_names(ks)]
-    return (", ".join(cols))
-
-
-def cf_results(ks=(5, 10, 20)) -> str:
-    cols = ["model STRING", "n_users BIGINT", "rmse DOUBLE"]
-    return (", ".join(cols + [f"`{m}` DOUBLE" for m in metric_names(ks)]))

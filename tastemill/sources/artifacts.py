@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
@@ -20,7 +20,7 @@ def save_artifacts(base: str, **frames: DataFrame) -> None:
 
 def load_artifact(spark: SparkSession, base: str, name: str) -> DataFrame:
     path = f"{base}/{name}"
-    if not _exists(spark, path):
+    if not exists(spark, path):
         raise FileNotFoundError(f"no artefact '{name}' under {base}")
     return spark.read.parquet(path)
 

@@ -98,9 +98,8 @@ class Views:
     def tags_raw(self) -> DataFrame:
         customer = self.table("customer").select("c_custkey", "c_mktsegment")
         part = self.table("part").select("p_partkey", "p_name")
-        first = self._purchases.filter("l_linenumber = 1")
         return (
-            first.join(customer, F.col("c_custkey") == F.col("o_custkey"))
+            self._purchases.join(customer, F.col("c_custkey") == F.col("o_custkey"))
             .join(part, F.col("p_partkey") == F.col("l_partkey"))
             .select(
                 F.col("o_custkey").alias("userId"),
@@ -193,8 +192,7 @@ DUCKDB = {
              ELSE concat('  ', c_mktsegment, ' ', p_name, ' ') END, ''))) AS tag,
         {_DAY} AS "timestamp"
         FROM orders JOIN lineitem ON o_orderkey = l_orderkey
-        JOIN customer ON c_custkey = o_custkey JOIN part ON p_partkey = l_partkey
-        WHERE l_linenumber = 1""",
+        JOIN customer ON c_custkey = o_custkey JOIN part ON p_partkey = l_partkey""",
     "genome_scores": """SELECT vec_id AS movieId, generate_subscripts(embedding, 1) AS tagId,
         round((CAST(unnest(embedding) AS DOUBLE) + 1) / 2, 6) AS relevance FROM embeddings""",
     "ps": """SELECT l_partkey, list_sort(list(DISTINCT l_suppkey)) AS ks FROM lineitem GROUP BY l_partkey""",

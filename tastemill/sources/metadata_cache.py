@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..session import cut_lineage
+from .artifacts import exists
 
 
 def read_cache_jsonl(spark: SparkSession, path: str) -> DataFrame:
@@ -29,6 +31,41 @@ def upsert(cache: DataFrame, responses: DataFrame, force: bool = False) -> DataF
     )
 
 
+# Hash buckets of the cache on disk: an upsert rewrites those that its ids fall into.
+CACHE_BUCKETS = 64
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("tmdbId"), F.lit(CACHE_BUCKETS)).cast("int").alias("bucket")
+
+
+def read_cache(spark: SparkSession, path: str) -> DataFrame:
+    """(tmdbId, raw) of the cache on disk; a path without a cache is an empty one."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schemas.METADATA_RAW)
+    return spark.read.schema(f"{schemas.METADATA_RAW}, bucket INT").parquet(path).select("tmdbId", "raw")
+
+
+def upsert_cache(spark: SparkSession, path: str, responses: DataFrame, force: bool = False) -> None:
+    """Upsert into the cache on disk: buckets without a response keep their files.
+
+    The merged rows are written aside first, so a failure on the way leaves the
+    cache as it was.
+    """
+    responses = cut_lineage(responses.select("tmdbId", "raw", _bucket()))
+    merged = responses.select("tmdbId", "raw")
+    if exists(spark, path):
+        old = spark.read.schema(f"{schemas.METADATA_RAW}, bucket INT").parquet(path)
+        touched = old.join(responses.select("bucket").distinct(), "bucket", "left_semi")
+        merged = upsert(touched.select("tmdbId", "raw"), merged, force)
+    else:
+        merged = upsert(merged.limit(0), merged, force)
+    merged = cut_lineage(merged.select("tmdbId", "raw", _bucket()).repartition("bucket"))
+    if merged.isEmpty():
+        return
+    merged.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+
+
 def plan_fetch(
     links: DataFrame,
     cache: DataFrame,
@@ -56,8 +93,9 @@ def successful_ids(cache: DataFrame) -> DataFrame:
 
 
 def ingest_report(cache: DataFrame) -> DataFrame:
+    """Cached ids, fetched and failed ones, and what ``flatten`` makes of them: records, and entries skipped as failed."""
+    ok = F.count_if(F.col("raw").isNotNull())
+    failed = F.count_if(F.col("raw").isNull())
     return cache.agg(
-        F.count(F.lit(1)).alias("n_total"),
-        F.count_if(F.col("raw").isNotNull()).alias("n_ok"),
-        F.count_if(F.col("raw").isNull()).alias("n_failed"),
+        F.count(F.lit(1)).alias("n_total"), ok.alias("n_ok"), failed.alias("n_failed"), ok.alias("n_records"), failed.alias("n_skipped"),
     )

@@ -67,9 +67,9 @@ def load_genome(spark: SparkSession, scores: str, tags: str) -> tuple[DataFrame,
     )
 
 
-def read_items(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """Enriched items; the projection reaches the Parquet scan."""
-    items = spark.read.parquet(path)
+def read_items(spark: SparkSession, path: str, columns: list[str] | None = None, schema: str | None = None) -> DataFrame:
+    """Enriched items; the projection reaches the Parquet scan. With a declared ``schema`` no footer is read to plan it."""
+    items = (spark.read.schema(schema) if schema else spark.read).parquet(path)
     return items.select(*columns) if columns else items
 
 

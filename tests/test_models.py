@@ -3,12 +3,11 @@
 import math
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tastemill.config import TfidfParams
-from tastemill.operators import factor_evaluating, factor_models, features, svd, tfidf
+from tastemill.operators import factor_evaluating, factor_models, features, svd, svdpp, tfidf
 from tastemill.plans.models import ContentModel, fit_models
 from tastemill.plans.specs import SPECS, FeatureGroups, ModelSpec
 
@@ -260,22 +259,12 @@ def test_factor_report(spark, world):
     assert row["model"] == "CF_SVD" and row["n_users"] > 0 and 0 < row["rmse"] < 2 and 0 <= row["ndcg@5"] <= 1
 
 
-def test_svdpp_steps_implicit_factors_after_every_batch():
-    rng = np.random.default_rng(4)
-    n, width, mean, lr, reg = 300, 3, 3.5, 0.02, 0.1
-    items, user, rating = rng.normal(0, 0.3, (n, 1 + 2 * width)), rng.normal(0, 0.3, 1 + width), rng.uniform(1, 5, n)
-    none = [None] * n
-    stream = pa.RecordBatch.from_pydict({
-        "tile": [0] * (2 * n + 1), "side": [0] * n + [1] * (n + 1), "key": [0] * n + [7] * (n + 1), "item": [*range(n), -(2**62), *range(n)],
-        "vec": [*items.tolist(), user.tolist(), *none], "weight": [*none, None, *rating],
-    })
-    out = pa.Table.from_batches(list(factor_models._epoch_kernel(mean, width, lr, reg)([stream]))).to_pydict()
-    got = {(kind, key): np.array(vec) for kind, key, vec in zip(out["kind"], out["key"], out["vec"])}
-
+def plain_svdpp(user, items, rating, order, mean, lr, reg):
+    """Every batch of one user's ratings steps the implicit factors of the whole history."""
+    width = len(user) - 1
     bi, q, y = items[:, 0].copy(), items[:, 1 : 1 + width].copy(), items[:, 1 + width :].copy()
-    bu, p, scale = user[0], user[1:].copy(), 1 / math.sqrt(n)
-    for lo in range(0, n, factor_models._MINI_BATCH):
-        at = slice(lo, lo + factor_models._MINI_BATCH)
+    bu, p, scale = user[0], user[1:].copy(), 1 / math.sqrt(len(items))
+    for at in order:
         whole = p + y.sum(axis=0) * scale
         err = rating[at] - (mean + bu + bi[at] + q[at] @ whole)
         pull, m = err @ q[at], len(err)
@@ -284,6 +273,49 @@ def test_svdpp_steps_implicit_factors_after_every_batch():
         q[at] += lr * (err[:, None] * whole - reg * q[at])
         p += lr * (pull - reg * p * m)
         y = y * (1 - lr * reg) ** m + lr * scale * pull
-    np.testing.assert_allclose(got[1, 7], [bu, *p], rtol=1e-9)
-    moved = np.array([got[0, k] for k in range(n)])
-    np.testing.assert_allclose(moved[:, :-1], np.hstack([bi[:, None], q, y]) - items, rtol=1e-7, atol=1e-12)
+    return np.concatenate(([bu], p)), np.hstack([bi[:, None], q, y])
+
+
+@pytest.mark.parametrize("cells", [1, 3])
+def test_svdpp_steps_the_whole_history_across_cells(cells):
+    """Items catch up on the steps made in other cells: one user's epochs equal those on undivided items."""
+    rng = np.random.default_rng(4)
+    n, width, mean, lr, reg, epochs = 300, 3, 3.5, 0.02, 0.1, 3
+    items = np.hstack([rng.normal(0, 0.3, (n, 1 + width)), np.zeros((n, width))])
+    user, rating = rng.normal(0, 0.3, 1 + width), rng.uniform(1, 5, n)
+    parts = np.array_split(np.arange(n), cells)
+    batch = svdpp.MINI_BATCH
+    order = [part[lo : lo + batch] for _ in range(epochs) for part in parts for lo in range(0, len(part), batch)]
+    want_user, want_items = plain_svdpp(user, items, rating, order, mean, lr, reg)
+
+    ids, state = np.array([7]), np.concatenate([[user[0], n, 0.0], user[1:], np.zeros(2 * width)])[None, :]
+    blocks, memos = [items[part].copy() for part in parts], [None] * cells
+    for epoch in range(epochs + 1):
+        for k, part in enumerate(parts):
+            cell = np.full(len(part), 7), part, rating[part]
+            memos[k] = svdpp.visit(ids, state, part, blocks[k], cell, memos[k], mean, width, lr, reg, epoch < epochs)
+    np.testing.assert_allclose(np.concatenate([[state[0, 0]], state[0, 3 : 3 + width]]), want_user, rtol=1e-8)
+    np.testing.assert_allclose(np.concatenate(blocks), want_items, rtol=1e-7, atol=1e-10)
+    np.testing.assert_allclose(state[0, 3 + width : 3 + 2 * width], want_items[:, 1 + width :].sum(axis=0), rtol=1e-7)
+
+
+def test_svdpp_does_not_depend_on_shuffle_partitions(spark, world, monkeypatch):
+    monkeypatch.setattr(svdpp, "CELL_RATINGS", 40)  # several hundred ratings: more blocks than the fewest
+    train = world.filter("split = 'train'")
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for partitions in ("2", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            model = factor_models.FactorModel("svdpp", {"n_factors": 3, "n_epochs": 2}).fit(train)
+            found.append([rows(model.users, "user_id"), rows(model.items, "movie_id")])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert svdpp.grid_blocks(train.count()) > svdpp.BLOCKS
+    for a, b in zip(*found):
+        assert [(r[0], r[1]) for r in a] == [(r[0], r[1]) for r in b]
+        np.testing.assert_allclose([r[2] for r in a], [r[2] for r in b], rtol=1e-12)
+
+
+def test_unknown_parameters_are_refused():
+    with pytest.raises(ValueError, match="lr"):
+        factor_models.FactorModel("svd", {"lr": 0.1})

@@ -1,5 +1,6 @@
 """Golden rows and invariants of scans, filters, ids and splits."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,6 +88,17 @@ def test_exact_median(spark, values):
     assert ranking.exact_median(df, "x").first()[0] == (statistics.median(known) if known else None)
 
 
+def test_median_of_a_million_distinct_values(spark):
+    """Both signs, all magnitudes; no plan step orders the values."""
+    df = spark.range(1_000_000).select(((F.col("id") * 7919 % 1_000_003 - 400_000) * F.pow(F.lit(10.0), F.col("id") % 9 - 4)).alias("x"))
+    values = np.array([r[0] for r in df.collect()])
+    assert len(np.unique(values)) > 900_000
+    assert ranking.exact_median(df, "x").first()[0] == np.median(values)
+    bits = df.mapInArrow(ranking._ordered_bits, "bits BIGINT")
+    ranks = [0, 1, 250_000, 999_999]
+    assert [ranking._double(b) for b in ranking.select_ranks(bits, ranks)] == np.sort(values)[ranks].tolist()
+
+
 def test_title_lookups(spark):
     items = spark.createDataFrame([(0, "A"), (1, "B"), (2, "A"), (3, None)], "movie_idx INT, title STRING")
     assert ("A", 2) in rows(indexing.resolve_titles(items))
@@ -115,7 +127,7 @@ def test_train_only_items_null_without_train_tags(spark):
     tags = spark.createDataFrame([(1, 1, "a", 1), (2, 1, "b", 2), (1, 2, "c", 3)], "userId LONG, movieId LONG, tag STRING, timestamp LONG")
     train = spark.createDataFrame([(2, 1)], "userId LONG, movieId LONG")
     items = spark.createDataFrame([(1, "old"), (2, "old")], "movieId LONG, user_tags_text STRING")
-    assert rows(tag_text.train_only_items(items, tags, train), "movieId") == [(1, "b"), (2, None)]
+    assert rows(tag_text.train_only_items(items, tags, train), "movieId") == [(1, 0, "b"), (2, None, None)]
     assert rows(tag_text.leakage_report(tags, train, items))[0][:2] == (3, 1)
 
 
@@ -187,3 +199,41 @@ def test_prepare_writes_all_tables(spark, sf_dir, tmp_path):
     assert {"split", "user_idx", "movie_idx"} <= set(ratings.columns) and ratings.count() == 4885
     items = tables.read_items(spark, paths["items"], ["movie_idx", "title"])
     assert items.columns == ["movie_idx", "title"] and items.count() == 183
+
+
+def test_tag_chunks_are_numbered_and_join_to_the_text(spark):
+    far = 5 << tag_text.USER_RANGE_BITS
+    tags = spark.createDataFrame([(far, 1, "late", 1), (2, 1, "b", 7), (2, 1, "a", 7), (1, 1, "first", 9), (far + 1, 1, "last", 0), (3, 2, "x", 1)],
+                                 "userId LONG, movieId LONG, tag STRING, timestamp LONG").repartition(3)
+    assert rows(tag_text.tag_chunks(tags), "movieId", "chunk") == [(1, 0, "first a b"), (1, 1, "late last"), (2, 0, "x")]
+    assert rows(tag_text.concat_tags(tags), "movieId") == [(1, "first a b late last"), (2, "x")]
+
+
+def test_persisted_cache_rewrites_touched_buckets_only(spark, tmp_path):
+    import glob
+    import os
+
+    path = f"{tmp_path}/cache"
+    files = lambda: {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/bucket=*/*.parquet")}
+    first = spark.createDataFrame([(k, f"r{k}" if k % 3 else None) for k in range(200)], "tmdbId LONG, raw STRING")
+    metadata_cache.upsert_cache(spark, path, first)
+    assert rows(metadata_cache.read_cache(spark, path), "tmdbId") == rows(first, "tmdbId")
+    before = files()
+    more = spark.createDataFrame([(3, "new"), (500, "five hundred")], "tmdbId LONG, raw STRING")
+    metadata_cache.upsert_cache(spark, path, more)
+    kept = dict(rows(metadata_cache.read_cache(spark, path)))
+    assert kept[3] is None and kept[500] == "five hundred" and len(kept) == 201
+    after = files()
+    changed = {os.path.dirname(f) for f, _ in set(before.items()) ^ set(after.items())}
+    assert 1 <= len(changed) <= 2
+    metadata_cache.upsert_cache(spark, path, more, force=True)
+    kept = dict(rows(metadata_cache.read_cache(spark, path)))
+    assert kept[3] == "new" and kept[500] == "five hundred" and len(kept) == 201
+    metadata_cache.upsert_cache(spark, path, more.limit(0))
+    assert len(dict(rows(metadata_cache.read_cache(spark, path)))) == 201
+
+
+def test_lists_as_text_or_as_arrays(spark):
+    df = spark.createDataFrame([("['a', 'b']", ["c"]), (None, None), ("plain", [])], "t STRING, a ARRAY<STRING>")
+    got = df.select(text.as_list(df, "t").alias("t"), text.as_list(df, "a").alias("a"))
+    assert rows(got) == [(["a", "b"], ["c"]), ([], []), (["plain"], [])]

@@ -112,6 +112,62 @@ def test_hot_user_straddles_arrow_batches(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+@pytest.mark.parametrize("layout", [Layout(2, 1), Layout(2, 3)])
+def test_hot_users_are_split_with_the_same_result(spark, matrix, ratings, layout):
+    df = rating_rows(spark, ratings)
+    key = lambda d: sorted((r.user_id, r["rank"], r.movie_idx, round(r.score, 8)) for r in d.collect())
+    for metric, strategy in (("cosine", "mean_centering"), ("euclidean", "weighted")):
+        whole = key(recommending.recommend(df, vectors(spark, matrix), 8, metric, strategy, layout))
+        assert key(recommending.recommend(df, vectors(spark, matrix), 8, metric, strategy, layout, hot_rows=20)) == whole
+
+
+@pytest.mark.parametrize("metric, clip", [("cosine", None), ("euclidean", None), ("dot", None), ("dot", (0.5, 5.0))])
+@pytest.mark.parametrize("slab", [8 * 256 * 7, 1 << 24])
+def test_scorer_slices_lose_nothing(metric, clip, slab):
+    rng = np.random.default_rng(6)
+    m = rng.normal(size=(500, 6)) * rng.lognormal(0, 2, 500)[:, None]
+    m[40:60] = m[7]
+    m[3] = 0
+    q, keys = rng.normal(size=(30, 6)) * 3, np.arange(100, 130)
+    q[4] = 0
+    row, pos = rng.integers(0, 30, 400), rng.integers(0, 500, 400)
+    ids = np.arange(500) * 3 + 1
+    cols = tiles._Scorer(ids, m, metric, 25, clip, slab).top(keys, q, row, pos)
+    got = {}
+    for k, i, s, r in zip(*cols):
+        got.setdefault(k, []).append((i, s, r))
+    for n, x in enumerate(q):
+        s = [cosine(x, y) if metric == "cosine" else float(x @ y) if metric == "dot" else -float(((x - y) ** 2).sum()) for y in m]
+        s = np.clip(s, *clip) if clip else s
+        want = best(s, 25, set(pos[row == n].tolist()))
+        found = got[100 + n]
+        assert [r for _, _, r in found] == list(range(1, 26))
+        assert np.allclose([v for _, v, _ in found], [s[j] for j in want], atol=1e-6)
+        if metric != "euclidean":  # large distances lose decimals, so near ties may differ there
+            assert [i for i, _, _ in found] == [ids[j] for j in want]
+
+
+def test_scorer_memory_and_walk_are_bounded(monkeypatch):
+    """A million short vectors: scores fill a few slabs at most, and long vectors end the walk."""
+    import tracemalloc
+
+    rng = np.random.default_rng(8)
+    n = 1_000_000
+    m = rng.normal(size=(n, 10)) * rng.pareto(1.0, n)[:, None]
+    scorer = tiles._Scorer(np.arange(n), m, "dot", 10, None, 1 << 22)
+    seen, plain = [], tiles._Scorer._scores
+    monkeypatch.setattr(tiles._Scorer, "_scores", lambda self, q, length, lo, hi: seen.append(hi - lo) or plain(self, q, length, lo, hi))
+    q = rng.normal(size=(256, 10))
+    none = np.zeros(0, np.int64)
+    tracemalloc.start()
+    found = scorer.top(np.arange(256), q, none, none)
+    assert tracemalloc.get_traced_memory()[1] < 10 * (1 << 22)
+    tracemalloc.stop()
+    assert sum(seen) < n / 10
+    at = found[0] == 5
+    assert np.allclose(found[2][at], np.sort(m @ q[5])[::-1][:10])
+
+
 @pytest.mark.parametrize("salt", [1, 4])
 @pytest.mark.parametrize("layout", LAYOUTS)
 def test_weighted_sums(spark, matrix, layout, salt):

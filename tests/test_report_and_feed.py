@@ -2,8 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tastemill.operators import insights, reporting
-from tastemill.schemas import cb_results
+from tastemill.operators import insights, metrics, reporting
 from tastemill.sources.driver_views import Views
 from tastemill.streaming import feed
 
@@ -40,13 +39,12 @@ def test_variants_and_pivot(spark):
 
 
 def test_markdown(spark):
-    text = reporting.render_markdown(cf(spark), min_width=10)
-    assert text.splitlines()[0] == "| model      | n_users    | rmse       | hr@10      | ndcg@10    |"
-    assert text.splitlines()[2] == "| CF_SVD     | 62411      | 0.7553     | 0.1870     | 0.0309     |"
-    assert reporting.render_markdown(cf(spark).limit(0)) == "No results to display"
-    long = reporting.render_markdown(cb(spark))
-    assert "| cb1_mean_centering | 62411    | 0.1677   | 0.0269   |" in long
-    assert cb_results().startswith("model STRING, n_users BIGINT, `hr@5` DOUBLE")
+    text = reporting.render_markdown(cf(spark)).splitlines()
+    assert text[0] == "|model|n_users|rmse|hr@10|ndcg@10|" and text[1] == "|:--|--:|--:|--:|--:|"
+    assert text[2] == "|CF_SVD|62411|0.7553|0.1870|0.0309|"
+    assert reporting.render_markdown(cf(spark).limit(0)) == ""
+    assert "|cb1_mean_centering|62411|0.1677|0.0269|" in reporting.render_markdown(cb(spark))
+    assert list(metrics.columns_at((5, 10))) == ["hr@5", "p@5", "r@5", "ndcg@5", "hr@10", "p@10", "r@10", "ndcg@10"]
 
 
 def test_taste_profile_rules(spark):
@@ -77,5 +75,47 @@ def test_stream_replay_equals_batch(spark, sf_dir, tmp_path):
     query.awaitTermination()
     want = sorted(tuple(r) for r in feed.current_ratings(changes).collect())
     assert sorted(tuple(r) for r in feed.read_current(spark, f"{tmp_path}/out").collect()) == want
-    feed.compact(spark, f"{tmp_path}/out", f"{tmp_path}/small")
-    assert sorted(tuple(r) for r in feed.read_current(spark, f"{tmp_path}/small").collect()) == want
+
+
+def test_stream_goes_on_over_compactions(spark, sf_dir, tmp_path):
+    """Readers and the running stream follow the snapshot; folded files go once no reader needs them."""
+    changes, out = Views(spark, sf_dir).feed, f"{tmp_path}/out"
+    schema, total = changes.schema, []
+
+    def add(i):
+        part = changes.filter(F.pmod("event_id", F.lit(6)) == (i * 5) % 6)
+        part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        total.append(part)
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        feed.stream_changes(stream, out, f"{tmp_path}/ck").awaitTermination()
+
+    def check():
+        every = total[0]
+        for part in total[1:]:
+            every = every.union(part)
+        want = sorted(tuple(r) for r in feed.current_ratings(every).collect())
+        assert sorted(tuple(r) for r in feed.read_current(spark, out).collect()) == want
+
+    folders = lambda: sorted(p.name for p in (tmp_path / "out").glob("*/*=*"))
+    for i in range(6):
+        add(i)
+        run()
+        check()
+        if i % 2:
+            early = feed.read_current(spark, out)  # planned before the hand-over
+            before = sorted(map(tuple, early.collect()))
+            feed.compact(spark, out)
+            assert sorted(map(tuple, early.collect())) == before
+            check()
+    names = folders()
+    assert sum(n.startswith("snapshot=") for n in names) == 2  # the current one and the one before
+    assert sum(n.startswith("version=") for n in names) == 2  # only those that the one before does not hold
+    feed.compact(spark, out)  # nothing new: nothing happens
+    assert folders() == names
+
+
+def test_empty_feed_folder_compacts_to_nothing(spark, tmp_path):
+    feed.compact(spark, f"{tmp_path}/none")
+    assert feed.read_current(spark, f"{tmp_path}/none").count() == 0

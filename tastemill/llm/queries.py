@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import apply_sql_defaults, ensure_checkpoint_dir
+from ..session import apply_sql_defaults, cut_lineage, ensure_checkpoint_dir
 from . import byte_bpe, decontaminate, html_templates, line_crf, merkle, minhash, pii, quality, simhash, super_kmers, token_counts, warc, word_runs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,7 +111,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/warc-{uuid.uuid4().hex}"
     warc.write_archive(_table(spark, sf_dir, "pages"), path)
-    found = warc.assemble(warc.read_records(spark, path))
+    records = cut_lineage(warc.read_records(spark, path))
+    archive = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    archive.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(archive, True)
+    found = warc.assemble(records)
     return found.select("page_id", "response.payload_bytes", "response.payload_digest", F.col("response.kind").alias("record_type"), "response.refers_to")
 
 

@@ -4,14 +4,16 @@ Every page gives three records: a request, a response (or a revisit of an equal
 payload) and a metadata record that names the page. Request and metadata point
 at the response through WARC-Concurrent-To. Records are text with a UTF-8
 payload, so Spark's text writer makes the files: a record is a line, and the
-line separator is the two CRLFs that end a record. Files hold a bounded number
-of records and are gzip streams; the reader goes by Content-Length, so payloads
-may contain separators and whole records.
+line separator is the two CRLFs that end a record. Files are gzip streams of a
+bounded number of records; the reader inflates them piece by piece and holds one
+record and one batch at a time. It goes by Content-Length, so payloads may contain
+separators and whole records.
 
 Of equal payloads (by length and SHA-1) the largest page_id is the response;
-rows that repeat this page_id are responses as well. A null page_id is smaller
-than any other; a null html is an empty payload. Rows that repeat a page_id give
-one capture each.
+rows that repeat this page_id and payload are responses as well. Record ids name the
+page_id and the payload, so rows of one page_id with different payloads are captures
+of their own. A null page_id is smaller than any other; a null html is an empty
+payload. Rows that repeat a page_id give one capture each.
 """
 
 from __future__ import annotations
@@ -19,12 +21,15 @@ from __future__ import annotations
 import base64
 import hashlib
 import zlib
+from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RECORDS_PER_FILE = 3000
+PIECE_BYTES = 1 << 20
+BATCH_BYTES = 8 << 20
 CRLF = "\r\n"
 DATE = "2024-01-01T00:00:00Z"  # captures carry no time of their own
 
@@ -41,7 +46,9 @@ def base32_sha1(text: Column) -> Column:
 
 
 def _record_id(kind: str, page_id: Column) -> Column:
-    digest = F.md5(F.concat(F.lit(kind + ":"), F.coalesce(page_id.cast("string"), F.lit("null"))).cast("binary"))
+    """Id of a record of the page and payload (columns digest and size) at hand."""
+    name = F.concat_ws(":", F.lit(kind), F.coalesce(page_id.cast("string"), F.lit("null")), "size", "digest")
+    digest = F.md5(name.cast("binary"))
     parts = [F.substring(digest, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
@@ -82,26 +89,51 @@ _HEADERS = (b"warc-type", b"warc-record-id", b"warc-target-uri", b"warc-concurre
 RECORD_SCHEMA = ", ".join(f"{f} string" for f in _FIELDS) + ", payload_bytes long, payload_digest string, page string"
 
 
-def parse_records(data: bytes):
-    """(header fields by lower-case name, block) of each record of an uncompressed archive."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].split(b"\r\n")
+def parse_records(pieces: Iterable[bytes]):
+    """(header fields by lower-case name, block) of each record of an uncompressed archive that comes in pieces."""
+    pieces, data = iter(pieces), bytearray()
+
+    def more() -> bool:
+        piece = next((p for p in pieces if p), None)
+        data.extend(piece or b"")
+        return piece is not None
+
+    while data or more():
+        while (end := data.find(b"\r\n\r\n")) < 0:
+            if not more():
+                raise ValueError("archive ends inside a record header")
+        lines = bytes(data[:end]).split(b"\r\n")
         fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(b":") for line in lines[1:])}
         start, size = end + 4, int(fields[b"content-length"])
-        yield fields, data[start:start + size]
-        at = start + size + 4
+        while len(data) < start + size + 4:
+            if not more():
+                raise ValueError("archive ends inside a record")
+        yield fields, bytes(data[start:start + size])
+        del data[:start + size + 4]
+
+
+def _inflated(content: memoryview):
+    """Pieces of a gzip stream, each of at most PIECE_BYTES."""
+    stream = zlib.decompressobj(31)
+    for at in range(0, len(content), PIECE_BYTES):
+        rest = content[at:at + PIECE_BYTES]
+        while len(rest):
+            yield stream.decompress(rest, PIECE_BYTES)
+            rest = stream.unconsumed_tail
+    yield stream.flush()
 
 
 def read_records(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
     """One row per record of the archives under ``path``: RECORD_SCHEMA, and ``payload`` binary when asked for."""
+    types = [pa.string()] * 6 + [pa.int64(), pa.string(), pa.string(), pa.binary()]
+    names = [*_FIELDS, "payload_bytes", "payload_digest", "page", "payload"]
+    keep = 10 if with_payload else 9
 
     def run(batches):
         for batch in batches:
             for content in batch.column("content"):
-                rows = [[] for _ in range(10)]
-                for fields, block in parse_records(zlib.decompress(content.as_buffer(), 31)):
+                rows, held = [], 0
+                for fields, block in parse_records(_inflated(memoryview(content.as_buffer()))):
                     values = [fields[h].decode() if h in fields else None for h in _HEADERS]
                     kind, payload, page = values[0], None, None
                     if kind == "response":
@@ -109,19 +141,23 @@ def read_records(spark: SparkSession, path: str, with_payload: bool = False) ->
                     elif kind == "metadata":
                         page = block.partition(b":")[2].strip().decode()
                     values += [None if payload is None else len(payload), None if payload is None else base64.b32encode(hashlib.sha1(payload).digest()).decode(), page, payload]
-                    for column, value in zip(rows, values):
-                        column.append(value)
-                arrays = [pa.array(c, t) for c, t in zip(rows, [pa.string()] * 6 + [pa.int64(), pa.string(), pa.string(), pa.binary()])]
-                names = [*_FIELDS, "payload_bytes", "payload_digest", "page", "payload"]
-                keep = 10 if with_payload else 9
-                yield pa.RecordBatch.from_arrays(arrays[:keep], names=names[:keep])
+                    rows.append(values[:keep])
+                    held += len(payload or b"") if with_payload else 0
+                    if held > BATCH_BYTES or len(rows) >= RECORDS_PER_FILE:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names[:keep])
+                        rows, held = [], 0
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names[:keep])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
     return files.mapInArrow(run, RECORD_SCHEMA + (", payload binary" if with_payload else ""))
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One nested row per capture: page_id, request, response (response or revisit, with the payload it stands for) and metadata."""
+    """One nested row per capture: page_id, request, response (response or revisit, with the payload it stands for) and metadata.
+
+    ``records`` is read once per kind of record: pass a written table.
+    """
     extra = ["payload"] if "payload" in records.columns else []
     of = {kind: records.where(F.col("kind") == kind) for kind in ("request", "metadata")}
     asked = of["request"].groupBy(F.col("concurrent_to").alias("asked_by")).agg(F.min(F.struct("record_id", "target")).alias("request"))

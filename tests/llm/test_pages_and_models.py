@@ -69,6 +69,17 @@ def test_warc(spark, tmp_path):
     assert warc.assemble(warc.read_records(spark, str(tmp_path / "e"))).count() == 0
 
 
+def test_warc_keeps_payloads_of_one_page_id_apart(spark, tmp_path):
+    rows = [(1, "u", "x"), (3, "u", "x"), (3, "u", ""), (2, "v", "y" * 3_000_000), (4, "v", "y" * 3_000_000)]
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path / "w"))
+    found = warc.assemble(warc.read_records(spark, str(tmp_path / "w"), with_payload=True)).collect()
+    assert sorted((r.page_id, r.response.kind, r.response.payload_bytes, r.response.refers_to) for r in found) == [
+        (1, "revisit", 1, 3), (2, "revisit", 3_000_000, 4), (3, "response", 0, None), (3, "response", 1, None), (4, "response", 3_000_000, None)]
+    assert all(len(r.response.payload) == r.response.payload_bytes for r in found)
+    with pytest.raises(ValueError):
+        list(warc.parse_records([b"WARC/1.1\r\nContent-Length: 9\r\n\r\nshort"]))
+
+
 def test_quality(spark, sf_dir):
     docs, labels = (spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/{t}.parquet") for t in ("documents", "labels"))
     vectors, network = quality.train(docs, labels)

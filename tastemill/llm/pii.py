@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -222,7 +223,8 @@ def all_spans(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
     changes = any(_single[c] != c for c in chars)
     if not changes and not any(h.search(text) for h in _HINTS):
         return base, every
-    taken = [(s, e, kind) for kind, spans in base.items() for s, e in spans]
+    # spans found so far: of each kind, sorted and apart from each other
+    taken = {kind: ([s for s, _ in sorted(spans)], [e for _, e in sorted(spans)]) for kind, spans in base.items()}
     plain = characters(Mapped(text))
     forms = [plain] if changes else []
     if any(h.search(plain.text) for h in _HINTS):
@@ -232,10 +234,15 @@ def all_spans(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
         for kind, spans in base_spans(form.text).items():
             for span in spans:
                 s, e = form.source(span)
-                met = [(a, b, k) for a, b, k in taken if a < e and s < b]
-                wider = kind == "email" and all(k == kind and s <= a and b <= e and (a, b) != (s, e) for a, b, k in met)
-                if (not met or wider) and _plausible(kind, form, span, text):
-                    taken.append((s, e, kind))
+                met = {k: (bisect_right(ends, s), bisect_left(starts, e)) for k, (starts, ends) in taken.items()}
+                own, (starts, ends) = slice(*met[kind]), taken[kind]
+                apart = all(low >= high for k, (low, high) in met.items() if k != kind)
+                free = own.start >= own.stop
+                wider = kind == "email" and not free and s <= starts[own.start] and ends[own.stop - 1] <= e and (starts[own], ends[own]) != ([s], [e])
+                if apart and (free or wider) and _plausible(kind, form, span, text):
+                    # a wider span stands for those inside of it
+                    own = slice(own.start, max(own.start, own.stop))
+                    starts[own], ends[own] = [s], [e]
                     every[kind].append((s, e))
     return base, {kind: sorted(spans) for kind, spans in every.items()}
 

@@ -195,8 +195,57 @@ def test_decontaminate(spark, docs, empty, monkeypatch, block):
 def test_longest_match():
     index = decontaminate.build_index([("i", " ".join(f"w{k}" for k in range(30)))])
     text = "x " + " ".join(f"W{k}" for k in range(4, 27)) + " y"
-    columns = decontaminate._scan(index, pa.record_batch({"text": [text]}))
-    assert columns[4] == [23] and columns[5][0] == [{"item": "i", "start": 1, "length": 23}]
+    n_words, hits, items, matches = decontaminate._scan(index, pa.record_batch({"text": [text]}))
+    assert (n_words, hits, items) == ([25], [[(1, 23)]], [["i"]]) and matches == [[{"item": "i", "start": 1, "length": 23}]]
+
+
+def test_longest_matches_are_those_of_all_pairs():
+    rnd = random.Random(7)
+    draw = lambda n, letters: [rnd.choice(letters) for _ in range(n)]
+    items = [(f"i{k}", draw(rnd.randrange(8, 60), "abc"[:rnd.randrange(1, 4)])) for k in range(25)]
+    items.append(("copy", items[3][1]))
+    index = decontaminate.build_index([(n, " ".join(w)) for n, w in items])
+    texts = [sum((rnd.choice(items)[1][rnd.randrange(5):] + draw(rnd.randrange(3), "abcz") for _ in range(4)), []) for _ in range(30)] + [["a"] * 400, []]
+    n_words, hits, names, matches = decontaminate._scan(index, pa.record_batch({"text": [" ".join(t) for t in texts]}))
+    for text, runs, found, mine in zip(texts, hits, names, matches):
+        at, whole, covered, seen = {}, set(), set(), set()
+        for name, words in items:
+            n = min(10, len(words))
+            for p in range(len(text) - n + 1):
+                for q in range(len(words) - n + 1):
+                    m = 0
+                    while p + m < len(text) and q + m < len(words) and text[p + m] == words[q + m]:
+                        m += 1
+                    if m >= n:
+                        covered.update(range(p, p + n))
+                        seen.add(name)
+                        if n < 10:
+                            whole.add((p, n))  # a short item is one window, found or not
+                        else:
+                            at[p] = max(at.get(p, 0), m)
+        assert {k for s, n in runs for k in range(s, s + n)} == covered and found == sorted(seen)
+        assert {(m["start"], m["length"]) for m in mine if m["length"] < 10} == whole
+        starts = {m["start"]: m["length"] for m in mine if m["length"] >= 10}
+        assert starts == {p: n for p, n in at.items() if at.get(p - 1, 0) <= n}  # none that is the tail of another
+
+
+def test_equal_words_in_text_and_item_make_no_pairs():
+    import time
+
+    index = decontaminate.build_index([("i", "go " * 1000)])
+    start = time.perf_counter()
+    n_words, hits, _, matches = decontaminate._scan(index, pa.record_batch({"text": ["go " * 1_000_000]}))
+    assert time.perf_counter() - start < 120
+    assert n_words == [1_000_000] and hits == [[(0, 1_000_000)]] and max(m["length"] for m in matches[0]) == 1000
+
+
+def test_many_addresses_in_one_text():
+    import time
+
+    text = "é " + " ".join(f"user{k}@mail{k % 7}.example.com" for k in range(50_000))
+    start = time.perf_counter()
+    base, every = pii.all_spans(text)
+    assert time.perf_counter() - start < 10 and len(base["email"]) == len(every["email"]) == 50_000
 
 
 def test_byte_bpe(docs, empty):

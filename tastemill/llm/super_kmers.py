@@ -7,7 +7,10 @@ doc_id of each, and, behind them, where they occur. A bucket reads all its strin
 first, sorts their windows and so knows the smallest doc_id of every window; then
 the occurrences stream past and the covered word ranges leave. What a bucket holds
 are distinct strings, so a passage that a third of all documents share costs one
-string per task, not one per document.
+string per task, not one per document. Buckets are weighed first, by the distinct
+strings that the tasks would send: one beyond ``HEAVY_BYTES`` (a phrase that recurs
+every few words with other words around it) is dealt out window by window, by the
+hash of the whole window, so that equal windows still meet.
 
 Windows that one smaller doc_id shares cover their words; words of a document
 covered so are removed. Null and empty texts have no words; texts of fewer than
@@ -34,6 +37,7 @@ WINDOW = 13
 MINIMISER = 3
 BUCKET_BYTES = 4 << 20  # text bytes per bucket, in the mean
 FLUSH_BYTES = 8 << 20  # text bytes that a task packs at once
+HEAVY_BYTES = 32 << 20  # text bytes beyond which a bucket is dealt out by windows
 
 _PACKED = "bucket long, kind int, uid long, payload binary"
 
@@ -89,7 +93,58 @@ def _squeeze(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return out, starts
 
 
-def _emit(n_buckets: int, window: int):
+def _buckets(minimiser: np.ndarray, n_buckets: int) -> np.ndarray:
+    return (mix(minimiser) % np.uint64(n_buckets)).astype(np.int64)
+
+
+def _weigh(n_buckets: int, window: int):
+    """Bytes of the distinct strings of each block of texts, by bucket."""
+
+    def run(batches):
+        total = np.zeros(0, np.int64)
+        keys = np.zeros(0, np.int64)
+        for block in blocks(batches):
+            words = Words(*text_buffer(block.column("text")))
+            minimiser, first, n = super_kmers(words, window)
+            if not len(first):
+                continue
+            last = first + n + window - 1
+            _, one = np.unique(spans_hash(words.hashes(), first, last), return_index=True)
+            bucket, size = _buckets(minimiser[one], n_buckets), words.ends[last[one] - 1] - words.starts[first[one]]
+            keys, at = np.unique(np.concatenate((keys, bucket)), return_inverse=True)
+            total = np.bincount(at, np.concatenate((total, size)), len(keys)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(total)], names=["bucket", "bytes"])
+
+    return run
+
+
+def heavy_buckets(texts: DataFrame, n_buckets: int, size: int, window: int) -> dict[int, int]:
+    """Buckets over HEAVY_BYTES, and into how many parts each goes."""
+    if size <= HEAVY_BYTES:
+        return {}
+    weighed = texts.select("text").mapInArrow(_weigh(n_buckets, window), "bucket long, bytes long")
+    heavy = weighed.groupBy("bucket").agg(F.sum("bytes").alias("bytes")).where(F.col("bytes") > HEAVY_BYTES)
+    # a window of w words is w times as long as what it adds to a string
+    return {r["bucket"]: math.ceil(r["bytes"] * window / HEAVY_BYTES) for r in heavy.collect()}
+
+
+def _emit(n_buckets: int, window: int, heavy: dict[int, int]):
+    dealt = np.array(sorted(heavy), np.int64)
+    parts = np.array([heavy[b] for b in sorted(heavy)], np.int64)
+    base = n_buckets + np.cumsum(parts) - parts  # the parts are buckets behind the others
+
+    def by_windows(words: Words, bucket, first, n):
+        """Strings of heavy buckets, one for each window."""
+        hot = np.isin(bucket, dealt)
+        if not hot.any():
+            return bucket, first, n
+        count = n[hot]
+        at = np.arange(count.sum()) + np.repeat(first[hot] - np.cumsum(count) + count, count)
+        k = np.repeat(np.searchsorted(dealt, bucket[hot]), count)
+        value = spans_hash(words.hashes(), at, at + window)
+        part = base[k] + (value % parts[k].astype(np.uint64)).astype(np.int64)
+        return np.concatenate((bucket[~hot], part)), np.concatenate((first[~hot], at)), np.concatenate((n[~hot], np.ones(len(at), n.dtype)))
+
     def flush(held: dict, uid: int):
         """Rows of what was gathered: bucket -> [(strings, docs, positions)]."""
         for bucket, parts in held.items():
@@ -124,8 +179,8 @@ def _emit(n_buckets: int, window: int):
             if len(first):
                 joined, starts = _squeeze(words)
                 data = joined.tobytes()
+                bucket, first, n = by_windows(words, _buckets(minimiser, n_buckets), first, n)
                 owner = np.searchsorted(words.first, first, side="right") - 1
-                bucket = (mix(minimiser) % np.uint64(n_buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 columns = (bucket, ids[owner], first - words.first[owner], starts[first], starts[first + n + window - 1] - 1)
                 for b, doc, place, s, e in zip(*(c[order].tolist() for c in columns)):
@@ -240,7 +295,7 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(size / BUCKET_BYTES))
-    packed = texts.mapInArrow(_emit(n, window), _PACKED)
+    packed = texts.mapInArrow(_emit(n, window, heavy_buckets(texts, n, size, window)), _PACKED)
     found = packed.repartition("bucket").sortWithinPartitions("bucket", "kind", "uid").mapInArrow(_count(window), "doc long, start int, end int")
     return found.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
 

@@ -84,6 +84,28 @@ def test_super_kmers(docs, empty):
     assert super_kmers.remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("heavy", [1 << 30, 20_000])
+def test_super_kmers_of_log_lines(spark, monkeypatch, heavy):
+    """A phrase every few words with other words around it: one minimiser holds most windows, and is dealt out."""
+    monkeypatch.setattr(super_kmers, "HEAVY_BYTES", heavy)
+    monkeypatch.setattr(super_kmers, "BUCKET_BYTES", 1000)
+    rnd = random.Random(3)
+    line = lambda: "took ms at host " + " ".join(f"v{rnd.randrange(10**6)}" for _ in range(4))
+    rows = [(k, " ".join(line() for _ in range(30))) for k in range(40)]
+    rows += [(k, rows[k - 100][1] + " " + line()) for k in range(110, 120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    size = sum(len(t) for _, t in rows)
+    found = super_kmers.heavy_buckets(docs, size // 1000, size, 13)
+    assert bool(found) == (heavy < size)
+    seen, expected = {}, {}
+    for doc, text in rows:
+        words = text.split()
+        for k in range(len(words) - 12):
+            seen.setdefault(tuple(words[k:k + 13]), doc)
+        expected[doc] = len({p for k in range(len(words) - 12) if seen[tuple(words[k:k + 13])] < doc for p in range(k, k + 13)})
+    assert {r.doc_id: r.n_removed for r in super_kmers.remove_repeats(docs).collect()} == expected and sum(expected.values()) > 1000
+
+
 def test_super_kmers_null_id(spark):
     text = " ".join(map(str, range(20)))
     found = super_kmers.remove_repeats(spark.createDataFrame([(None, text), (2, text), (1, text)], "doc_id long, text string"))

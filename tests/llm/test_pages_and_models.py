@@ -32,7 +32,7 @@ def test_main_text():
 def test_template_text_is_dropped(spark):
     rows = [(k, "http://h.example/a", page(f"<p>text {k}</p>")) for k in range(20)]
     rows += [(100 + k, "http://small.example/", page("<p>copy</p>")) for k in range(30)]
-    rows += [(200, None, None), (201, None, ""), (5, "http://h.example/a", page("<p>text 5</p>"))]
+    rows += [(200, None, None), (201, None, ""), (202, "http://h.example/a", ""), (203, "http://h.example/a", None), (5, "http://h.example/a", page("<p>text 5</p>"))]
     pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, text string")
     found = {}
     for r in html_templates.extract(pages).collect():

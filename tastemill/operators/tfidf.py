@@ -57,14 +57,14 @@ def vocabulary(counts: DataFrame, n_docs, params: TfidfParams = TfidfParams()) -
 def tfidf(counts: DataFrame, vocab: DataFrame, n_docs, params: TfidfParams = TfidfParams()) -> DataFrame:
     """(doc, terms): per document the array of (term_idx, weight), L2-normalised.
 
-    The vocabulary is bounded, so it is broadcast; one shuffle on the document
+    The join goes by the measured size of the vocabulary; one shuffle on the document
     packs its at most ``max_features`` weights and takes their norm.
     """
     tf = F.col("tf").cast("double")
     tf = 1.0 + F.log(tf) if params.sublinear_tf else tf
     idf = F.log((1.0 + F.col("n_docs")) / (1.0 + F.col("df"))) + 1.0
     weighted = (
-        counts.join(F.broadcast(vocab.select("term", "df", "term_idx")), "term")
+        counts.join(vocab.select("term", "df", "term_idx"), "term")
         .withColumn("n_docs", n_docs)
         .select("doc", "term_idx", (tf * idf).alias("weight"))
     )

@@ -156,7 +156,7 @@ SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) A
 def f14_tfidf(v):
     rows, vocab = tfidf.fit_tfidf(_doc_counts(v), v.documents)
     cells = rows.select("doc", F.explode("terms").alias("c")).select("doc", "c.*")
-    named = cells.join(F.broadcast(vocab.select("term", "term_idx")), "term_idx")
+    named = cells.join(vocab.select("term", "term_idx"), "term_idx")
     return named.select(F.col("doc").alias("doc_id"), "term", F.round("weight", 6).alias("weight"))
 
 

@@ -49,10 +49,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder under the checkpoint folder."""
+# Folders that this process has handed out, by application.
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def scratch_path(spark: SparkSession, name: str = "table") -> str:
+    """A new folder under the checkpoint folder; ``release`` deletes it."""
     ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the intermediate tables written so far, and say how many. DataFrames that read them are
+    of no further use: call it when a result has been written or collected."""
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    for name in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return len(paths)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -63,7 +79,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     and a lost executor costs a re-read, not a recomputation.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

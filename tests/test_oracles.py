@@ -4,8 +4,10 @@ import pytest
 from oracle_check import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tastemill.plans import catalog
 
-QUERIES, ORACLES = queries(), oracle_sql()
+# Those of the optional part have their own tests.
+QUERIES, ORACLES = ({k: x for k, x in found.items() if k in catalog.QUERIES} for found in (queries(), oracle_sql()))
 
 
 @pytest.fixture(scope="module")
@@ -24,5 +26,16 @@ def test_runs(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 
 
+def test_scratch_tables_have_an_owner(spark):
+    import os
+
+    from tastemill.session import cut_lineage, release
+
+    release(spark)
+    path = cut_lineage(spark.range(3)).inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path)
+    assert release(spark) == 1 and not os.path.exists(path) and release(spark) == 0
+
+
 def test_entry(spark):
     assert entry(spark).count() == 2

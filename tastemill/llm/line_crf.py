@@ -5,8 +5,9 @@ lines, length, sentence ends); the field adds how labels follow each other, and
 Viterbi decoding labels whole texts. The share of words in content lines decides
 on retention, beside two base rules. Weights are trained by gradient ascent on
 the lines of at most ``SAMPLE`` labelled documents (those with the least hash
-of their id), every line carrying its document's label, around a prior that
-holds without any labels. Counts cover whole texts.
+of their id; a text of more than ``SAMPLE_LINES`` lines is not learnt from, so that
+the sample has a bound in lines too), every line carrying its document's label,
+around a prior that holds without any labels. Counts and decisions cover whole texts.
 
 A null or empty text has no words, fails the base rules and is not kept.
 Repeated rows are judged alike; repeated labels of a document are averaged.
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from .words import Words, blocks, mix, spans_hash, text_buffer, windows
 
 SAMPLE = 1000
+SAMPLE_LINES = 1000
 CONTENT_SHARE = 0.5
 MIN_WORDS = 10
 REPEAT_WINDOW = 5
@@ -170,8 +172,8 @@ def fit(texts: list[np.ndarray], labels: list[int], rounds: int = 60, rate: floa
     return weights, moves
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
-    """Weights from the lines of at most ``sample`` labelled documents."""
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_lines: int = SAMPLE_LINES) -> tuple[np.ndarray, np.ndarray]:
+    """Weights from the lines of at most ``sample`` labelled documents of at most ``sample_lines`` lines each."""
     known = labels.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.avg("quality").alias("_quality")).where("_quality IS NOT NULL AND _id IS NOT NULL")
     chosen = F.broadcast(known.orderBy(F.xxhash64("_id"), "_id").limit(sample))  # at most ``sample`` rows
 
@@ -179,7 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
         for block in blocks(batches):
             lines = Lines(*text_buffer(block.column("text")))
             cut = np.searchsorted(lines.text, np.arange(block.num_rows + 1))
-            rows = [lines.features[a:b].ravel() for a, b in zip(cut[:-1], cut[1:])]
+            rows = [lines.features[a:b].ravel() if b - a <= sample_lines else [] for a, b in zip(cut[:-1], cut[1:])]
             yield pa.RecordBatch.from_arrays([block.column("_id"), block.column("_quality"), pa.array(rows, pa.list_(pa.float64()))], names=["id", "quality", "features"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(chosen, "_id").select("_id", "_quality", "text").mapInArrow(run, "id long, quality double, features array<double>")

@@ -356,6 +356,19 @@ def test_line_crf(spark, docs, empty):
     assert {r.doc_id: r.kept for r in line_crf.judge(rows, line_crf.PRIOR, line_crf.PRIOR_MOVES).collect()} == {1: True, 2: False}
 
 
+def test_line_crf_learns_from_a_sample_bounded_in_lines(spark):
+    """A labelled text of very many lines changes no weight and is judged whole."""
+    good, junk = "The quick brown fox ran over the hill today.\nIt was a fine day for all of them.", "HOME | NEWS | SHOP\nBUY NOW!! ### $$$ %%%\nMENU | LOGIN | HELP ### $$$"
+    rows = [(k, good if k % 2 else junk) for k in range(20)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(21)], "doc_id long, quality int")
+    few = line_crf.train(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    long_text = "\n".join(f"Line {k} says something of its own." for k in range(100_000))
+    docs = spark.createDataFrame(rows + [(20, long_text)], "doc_id long, text string")
+    many = line_crf.train(docs, labels)
+    assert all(np.array_equal(a, b) for a, b in zip(few, many))
+    assert {r.doc_id: r.n_words for r in line_crf.judge(docs, *many).collect()}[20] == 700_000
+
+
 DISGUISES = [
     ("mail john.doe [at] example [dot] com now", "email", "john.doe [at] example [dot] com"),
     ("john at mail dot example dot com", "email", "john at mail dot example dot com"),

@@ -1,11 +1,14 @@
 """Token counts of whole texts by the whole-token shortcut.
 
-A byte-level vocabulary is checked offline once: a vocabulary string that the
-merges build from its bytes as one token, and that the splitting pattern leaves
-whole, encodes alone as one token. A pre-token among these counts one without
-merging; only the rest is merged, through the rank queue of ``byte_bpe``, and
-short results are remembered. Special strings inside a text count as their one
-token and split the text, as the library does by default.
+A byte-level vocabulary is checked offline, once, before any text is read: a
+vocabulary string that the merges build from its bytes as one token, and that the
+splitting pattern leaves whole, encodes alone as one token. The ids of the proven
+strings go out with the job (four bytes each, at most the vocabulary). A pre-token
+among these counts one without merging; only the rest is merged, through the rank
+queue of ``byte_bpe``, and short results are remembered. Special strings inside a text
+count as their one token and split the text, as the library does by default. A file
+that asks for anything else (a normalizer, another splitting, other merge options or
+added tokens that take in blanks) is refused.
 
 Null and empty texts have no tokens.
 """
@@ -37,10 +40,26 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(c): b for c, b in [*zip(plain, plain), *zip(range(256, 256 + len(rest)), rest)]}
 
 
+# The settings that this counter implements, as tokenizer files name them.
+SETTINGS = {"normalizer": None, "truncation": None, "padding": None}
+SPLITTING = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": None, "fuse_unk": False, "byte_fallback": False, "ignore_merges": False}
+ADDED = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False}
+
+
+def check_settings(model: dict) -> None:
+    """Raise for a file whose settings would change a count."""
+    asked = [(model, SETTINGS), (model.get("pre_tokenizer") or {}, SPLITTING), (model["model"], MODEL), *((t, ADDED) for t in model.get("added_tokens", []))]
+    for found, wanted in asked:
+        if other := {k: found[k] for k, value in wanted.items() if k in found and found[k] != value} or not found and wanted:
+            raise ValueError(f"tokenizer settings not covered: {other}")
+
+
 class Counter:
-    """Number of tokens of texts; pre-tokens proven to be whole tokens are never merged."""
+    """Number of tokens of texts; pre-tokens proven to be whole tokens (``proven``, their ids, or else proven here) are never merged."""
 
-    def __init__(self, model: dict):
+    def __init__(self, model: dict, proven: np.ndarray | None = None):
+        check_settings(model)
         alphabet = byte_alphabet()
         vocab = model["model"]["vocab"]
         raw = {t: bytes(alphabet[c] for c in t) for t in vocab}
@@ -53,7 +72,11 @@ class Counter:
         self.memory = Remembered(PATTERN, self._counts)
         special = [t["content"] for t in model.get("added_tokens", [])]
         self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
-        self.proven = frozenset(self._prove(raw))
+        if proven is None:
+            self.proven = frozenset(self._prove(raw))
+        else:
+            text_of = {i: t for t, i in vocab.items()}
+            self.proven = frozenset(raw[text_of[i]].decode() for i in proven.tolist())
 
     def _prove(self, raw: dict[str, bytes]) -> list[str]:
         """Vocabulary strings that are one pre-token and one token alone."""
@@ -97,20 +120,30 @@ class Counter:
 _counters: dict[str, Counter] = {}
 
 
-def worker_counter(name: str) -> Counter:
-    """The counter of this Python worker; the proof runs once per worker, before the first text."""
+def worker_counter(name: str, proven: np.ndarray) -> Counter:
+    """The counter of this Python worker."""
     if name not in _counters:
         with open(SparkFiles.get(name), encoding="utf-8") as file:
-            _counters[name] = Counter(json.load(file))
+            _counters[name] = Counter(json.load(file), proven)
     return _counters[name]
 
 
+def proven_ids(path: str) -> np.ndarray:
+    """Ids of the vocabulary strings that encode alone as one token: the offline proof."""
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)
+    alphabet, vocab = byte_alphabet(), model["model"]["vocab"]
+    whole = {text.encode() for text in Counter(model).proven}
+    return np.array(sorted(i for t, i in vocab.items() if bytes(alphabet[c] for c in t) in whole), np.int32)
+
+
 def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit of every row, by the vocabulary file at ``path``."""
     name = send_file(docs, path)
+    proven = docs.sparkSession.sparkContext.broadcast(proven_ids(path))
 
     def run(batches):
-        counter = worker_counter(name)
+        counter = worker_counter(name, proven.value)
         for batch in batches:
             counts = list(counter.count(t.as_py() or "" for t in batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(counts, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])

@@ -140,3 +140,28 @@ def test_pipeline(spark, sf_dir):
     tokens = {r.doc_id: r.decoded_sha256 for r in docs.collect()}
     assert tokens == {d: hashlib.sha256(t.encode()).hexdigest() for d, t in clean.items()}
     assert len(ids[0]) > len(ids[1]) > len(ids[2]) > len(ids[3]) == len(ids[4]) == len(ids[5]) > 0
+
+
+def test_pipeline_stages_on_odd_rows(spark, sf_dir):
+    """Nulls, blanks, repeated rows, one doc_id with two texts, an extra column, and no rows at all."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    from tastemill.session import cut_lineage
+
+    first, second = (" ".join(f"{w}{k}" for k in range(50)) for w in ("alpha", "beta"))
+    rows = [(1, first, "en", None, 3, "x"), (1, second, None, "s", None, None), (2, first, "en", "s", 1, "x"), (2, first, "en", "s", 1, "x"), (3, None, None, None, None, None),
+            (4, "", "en", "s", 0, "x"), (None, "write to a@b.co now " + second, "en", "s", 9, "x"), (5, "word " * 30_000, "en", "s", 1, "x")]
+    odd = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, bucket string").repartition(2)
+    for docs in (odd, odd.where("false")):
+        columns, sizes = docs.columns, [docs.count()]
+        for name, stage in pipeline.STAGES:
+            docs = cut_lineage(stage(spark, docs, sf_dir))
+            sizes.append(docs.count())
+            assert name == "tokens" or docs.columns == columns
+            if name == "near_duplicates" and sizes[0]:
+                kept = sorted((r.doc_id or 0, r.text or "") for r in docs.collect())
+                # copies of the first text go, the other text of document 1 stays; nulls and blanks are one group
+                assert (1, first) in kept and (1, second) in kept and not any(d == 2 for d, _ in kept) and [d for d, t in kept if not t] == [3]
+        if sizes[0]:
+            assert docs.where("doc_id IS NULL").count() == 1 and docs.where("doc_id = 1").count() == 2
+        else:
+            assert sizes == [0] * 6

@@ -303,6 +303,14 @@ def test_token_counts(docs, empty):
 
     with open(path, encoding="utf-8") as file:
         counter = token_counts.Counter(json.load(file))
+    shipped = token_counts.Counter(json.load(open(path, encoding="utf-8")), token_counts.proven_ids(path))
+    assert shipped.proven == counter.proven and len(shipped.proven) > 10_000
+    assert all(len(library.encode(t, add_special_tokens=False).ids) == 1 for t in list(shipped.proven)[::97])
+    for part, key, value in ((None, "normalizer", {"type": "NFC"}), ("pre_tokenizer", "add_prefix_space", True), ("model", "ignore_merges", True)):
+        model = json.load(open(path, encoding="utf-8"))
+        (model[part] if part else model)[key] = value
+        with pytest.raises(ValueError):
+            token_counts.check_settings(model)
     texts = ["a<|endoftext|>b", "<|endoftext|><|endoftext|>", "", "<|endof", "x" * 3000]
     assert list(counter.count(texts)) == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
 

@@ -350,21 +350,36 @@ def _gram_pass(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
                 order = np.argsort(c, kind="stable")
                 rows_of = r[order]
                 _scatter(z, c[order], lambda a, b: y[rows_of[a:b]], w[order])
-        touched = np.flatnonzero(np.abs(z).sum(axis=1))
-        if len(touched):
-            yield tiles._vec_batch(touched, z[touched])
+        held = [(c, z[c * _COLUMNS : (c + 1) * _COLUMNS]) for c in range(-(-len(z) // _COLUMNS))]
+        yield _chunk_rows([(c, part) for c, part in held if part.any()])
 
-    partial = rows.select("terms").mapInArrow(kernel, "key BIGINT, vec ARRAY<DOUBLE>")
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for c, part in zip(batch.column("chunk").to_pylist(), batch.column("part")):
+                values = np.frombuffer(part.as_buffer(), np.float64)
+                sums[c] = sums[c] + values if c in sums else values.copy()
+        yield _chunk_rows(list(sums.items()))
+
+    partial = rows.select("terms").mapInArrow(kernel, "chunk INT, part BINARY")
     total = np.zeros(basis.shape)
     # Bounded by SVD_BASIS_BYTES, checked in truncated_svd.
-    summed = tiles.sum_vectors(partial, "key", "vec", basis.shape[1]).toArrow()
-    if summed.num_rows:
-        keys = summed.column("key").to_numpy()
-        total[keys] = tiles._matrix(summed.column("vec").combine_chunks())
+    summed = partial.repartition("chunk").mapInArrow(add, "chunk INT, part BINARY").toArrow()
+    for c, part in zip(summed.column("chunk").to_pylist(), summed.column("part")):
+        total[c * _COLUMNS : (c + 1) * _COLUMNS] = np.frombuffer(part.as_buffer(), np.float64).reshape(-1, basis.shape[1])
     shared.unpersist()
     return total
 
 
+# Columns whose partial sums travel as one cell: small, as a cell comes from every task.
+_COLUMNS = 64
+
+
+def _chunk_rows(chunks) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([c for c, _ in chunks], pa.int32()), pa.array([np.ascontiguousarray(p).tobytes() for _, p in chunks], pa.binary())], names=["chunk", "part"])
+
+
 def _padded(df: DataFrame, k: int) -> DataFrame:
     missing = F.array_repeat(F.lit(0.0), F.greatest(F.lit(k) - F.size("features"), F.lit(0)))
     return df.withColumn("features", F.concat("features", missing))

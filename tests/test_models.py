@@ -316,6 +316,29 @@ def test_svdpp_does_not_depend_on_shuffle_partitions(spark, world, monkeypatch):
         np.testing.assert_allclose([r[2] for r in a], [r[2] for r in b], rtol=1e-12)
 
 
+def test_svdpp_exchanges_no_ratings_in_an_epoch(spark, world, monkeypatch):
+    """The kept ratings are read in place: above their scan no plan of a stratum has an exchange."""
+    plans, plain = [], svdpp.cut_lineage
+
+    def traced(df):
+        if df.columns == ["kind", "block", "ids", "state"]:
+            plans.append(df._jdf.queryExecution().executedPlan().toString().splitlines())
+        return plain(df)
+
+    monkeypatch.setattr(svdpp, "cut_lineage", traced)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")  # more than the blocks: the joins could prefer it
+    try:
+        factor_models.FactorModel("svdpp", {"n_factors": 2, "n_epochs": 1}).fit(world.filter("split = 'train'"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(plans) == 2 * svdpp.BLOCKS
+    for lines in plans:
+        scan = next(k for k, line in enumerate(lines) if "InMemoryTableScan" in line)
+        # in a plan's text the parent of an only child is the line above: the sort of the join, not an exchange
+        assert "Sort [" in lines[scan - 1] and not any("Exchange" in line and ", 16)" in line for line in lines[:scan]), lines[: scan + 1]
+
+
 def test_unknown_parameters_are_refused():
     with pytest.raises(ValueError, match="lr"):
         factor_models.FactorModel("svd", {"lr": 0.1})

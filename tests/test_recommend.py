@@ -48,6 +48,27 @@ def test_neighbours_match_brute_force(spark, matrix, layout, metric):
         assert lists[i] == best(s, 6, {i}), i
 
 
+@pytest.mark.parametrize("layout", [Layout(2, 1), Layout(2, 3)])
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_neighbours_compare_classes_of_equal_vectors(spark, matrix, layout, metric, monkeypatch):
+    """1,200 items with few vectors: the tiles get each vector once, the lists are those of all pairs."""
+    kind = np.random.default_rng(4).integers(0, 60, size=1200)
+    kind[kind == 7] = 5  # a class of zero vectors that is larger than a piece
+    kind[100:300] = 5
+    sides, plain = [], tiles.top_k
+    monkeypatch.setattr(similarity, "_CLASS_PIECE", 50)
+    monkeypatch.setattr(tiles, "top_k", lambda q, v, *a, **b: sides.append((q.count(), v.count())) or plain(q, v, *a, **b))
+    lists = {}
+    for r in sorted(similarity.neighbours(vectors(spark, matrix[kind]), 30, metric, layout).collect(), key=lambda r: (r.movie_idx, r["rank"])):
+        lists.setdefault(r.movie_idx, []).append(r.neighbour_idx)
+    assert sides == [(len(np.unique(matrix[kind], axis=0)),) * 2]
+    for i in range(1200):
+        a, score = matrix[kind[i]], {}
+        for c in set(kind):
+            score[c] = cosine(a, matrix[c]) if metric == "cosine" else -float(((a - matrix[c]) ** 2).sum())
+        assert lists[i] == best([score[c] for c in kind], 30, {i}), i
+
+
 def test_small_catalogue_gives_all_other_items(spark):
     got = similarity.neighbours(vectors(spark, np.eye(3)), 100)
     assert got.count() == 6

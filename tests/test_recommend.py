@@ -262,3 +262,29 @@ def test_planted_clusters_are_found(spark):
     assert evaluating.evaluate(r, vectors(spark, m), ks=[5], max_users=3).count() == 3
     single = evaluating.report(r, {"m": vectors(spark, m)}, ks=[5], strategies=["weighted"])
     assert [x.model for x in single.collect()] == ["m"]
+
+
+@pytest.mark.parametrize("name", ["k3_profile_weighted", "k5_recommend_cosine", "k5_recommend_euclidean", "w5_display_score", "o8_featured", "j13_hits"])
+def test_users_and_items_of_little_activity_are_served(spark, tmp_path, name):
+    """Three users with three ratings each of items that have vectors: no threshold leaves them out of result or SQL."""
+    import datetime as dt
+
+    import duckdb
+
+    from tastemill.plans.catalog import ORACLES, QUERIES
+    from tastemill.sources.driver_views import TABLES
+
+    day = dt.datetime(2024, 1, 1)
+    rows = {
+        "orders": [(o, o % 3, "F", 1.0, day, "1") for o in range(9)],
+        "lineitem": [(o, o // 3 * 3 + o % 3, 0, 1, 5.0 * (o % 4 + 1), 1.0, 0.0, 0.0, "A", "F", day + dt.timedelta(o)) for o in range(9)],
+        "embeddings": [(i, [float(i % 5 - 2), float(i % 3), 1.0], 0) for i in range(12)],
+        "part": [(i, f"p{i}", "b", "t", 1, 1.0) for i in range(12)],
+    }
+    con = duckdb.connect()
+    for table, found in rows.items():
+        spark.createDataFrame(found, TABLES[table]).coalesce(1).write.parquet(f"{tmp_path}/{table}.parquet")
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{tmp_path}/{table}.parquet/*.parquet')")
+    found = QUERIES[name](spark, str(tmp_path))
+    assert {r.user_id for r in found.select("user_id").collect()} == {0, 1, 2}
+    assert found.count() == len(con.execute(ORACLES[name]).fetchall())

@@ -168,6 +168,22 @@ def test_scorer_slices_lose_nothing(metric, clip, slab):
             assert [i for i, _, _ in found] == [ids[j] for j in want]
 
 
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_scorer_sorts_only_scores_ahead_of_the_best_so_far(metric, monkeypatch):
+    rng = np.random.default_rng(9)
+    m, q = rng.normal(size=(20_000, 12)), rng.normal(size=(256, 12))
+    sorted_cells, plain = [], np.lexsort
+    scorer = tiles._Scorer(np.arange(20_000), m, metric, 20, None)
+    monkeypatch.setattr(tiles, "_best", lambda s, k, f=tiles._best: sorted_cells.append(s.size) or f(s, k))
+    monkeypatch.setattr(np, "lexsort", lambda keys: sorted_cells.append(np.size(keys[0])) or plain(keys))
+    none = np.zeros(0, np.int64)
+    found = scorer.top(np.arange(256), q, none, none)
+    assert sum(sorted_cells) < 256 * 20_000 / 2
+    s = m @ q[9]
+    want = np.sort(s / np.linalg.norm(m, axis=1) / np.linalg.norm(q[9]) if metric == "cosine" else 2 * s - (m**2).sum(1) - (q[9] ** 2).sum())[::-1][:20]
+    assert np.allclose(found[2][found[0] == 9], want)
+
+
 def test_scorer_memory_and_walk_are_bounded(monkeypatch):
     """A million short vectors: scores fill a few slabs at most, and long vectors end the walk."""
     import tracemalloc

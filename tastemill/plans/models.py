@@ -24,7 +24,7 @@ class ContentModel:
 
     def fit(self, groups: FeatureGroups) -> ContentModel:
         self.features = cut_lineage(groups.combined(self.spec))
-        self.neighbours = similarity.neighbours(self.features, self.spec.top_k, self.spec.metric)
+        self.neighbours = cut_lineage(similarity.neighbours(self.features, self.spec.top_k, self.spec.metric))
         self.items = groups.items.select("movie_idx", "title")
         return self
 

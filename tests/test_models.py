@@ -342,3 +342,21 @@ def test_svdpp_exchanges_no_ratings_in_an_epoch(spark, world, monkeypatch):
 def test_unknown_parameters_are_refused():
     with pytest.raises(ValueError, match="lr"):
         factor_models.FactorModel("svd", {"lr": 0.1})
+
+
+def test_item_tables_are_not_broadcast(spark):
+    """A file of few bytes may hold a vector or a link for every item: joins on items ship neither to every task."""
+    from tastemill.operators import features
+    from tastemill.plans import prepare
+
+    index = spark.createDataFrame([(i, i) for i in range(6)], "movieId LONG, movie_idx INT")
+    vectors = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(4)], "movie_idx INT, features ARRAY<DOUBLE>")
+    aligned = features.align(vectors, index)
+    movies = spark.createDataFrame([(i, f"m{i}") for i in range(6)], "movieId LONG, title STRING")
+    links = spark.createDataFrame([(i, i + 100) for i in range(5)], "movieId LONG, tmdbId LONG")
+    metadata = spark.createDataFrame([(i + 100, "d") for i in range(5)], "tmdbId LONG, director STRING")
+    items = prepare.enrich_items(movies, index, links, metadata)
+    for frame in (aligned, items):
+        assert "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()
+        assert frame.count() == 6
+    assert {r.movie_idx: r.features for r in aligned.collect()}[5] == [0.0, 0.0]

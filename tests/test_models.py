@@ -360,3 +360,12 @@ def test_item_tables_are_not_broadcast(spark):
         assert "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()
         assert frame.count() == 6
     assert {r.movie_idx: r.features for r in aligned.collect()}[5] == [0.0, 0.0]
+
+
+def test_solver_blocks_follow_what_a_block_holds():
+    # a factor travels once per block: few blocks while the factors fit one, more beyond
+    assert factor_models._als_blocks(467_000, 20_000, 100) == 8
+    assert factor_models._als_blocks(28_000_000, 1_200_000, 15) == 8
+    assert factor_models._als_blocks(28_000_000, 1_200_000, 100) <= 10
+    n = factor_models._als_blocks(170_000_000, 7_000_000, 100)
+    assert 170_000_000 / n * 100 * 4 <= factor_models._ALS_BLOCK_BYTES

@@ -1,11 +1,14 @@
 """TF-IDF, SVD, recipes, factor models: golden values and invariants."""
 
+import glob
 import math
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tastemill import session
 from tastemill.config import TfidfParams
 from tastemill.operators import factor_evaluating, factor_models, features, svd, svdpp, tfidf
 from tastemill.plans.models import ContentModel, fit_models
@@ -369,3 +372,33 @@ def test_solver_blocks_follow_what_a_block_holds():
     assert factor_models._als_blocks(28_000_000, 1_200_000, 100) <= 10
     n = factor_models._als_blocks(170_000_000, 7_000_000, 100)
     assert 170_000_000 / n * 100 * 4 <= factor_models._ALS_BLOCK_BYTES
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    before = _shuffle_files(spark)
+    table = session.cut_lineage(spark.range(1000).repartition(4, "id"))
+    assert table.count() == 1000
+    for _ in range(100):  # they go in the background
+        left = {f for f in _shuffle_files(spark) - before if f.endswith(".data")}
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+
+
+def test_svdpp_keeps_only_the_last_states(spark):
+    rows = [(u, i, float(1 + (u * i) % 5)) for u in range(12) for i in range(10) if (u + i) % 3]
+    ratings = spark.createDataFrame(rows, "user_id long, movie_id long, rating double")
+    session.ensure_checkpoint_dir(spark)
+    base = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    kept = lambda kind: set(glob.glob(f"{base}/stratum-*/kind={kind}"))
+    before = [kept(kind) for kind in range(3)]
+    _, users, _ = svdpp.fit(ratings, {"n_factors": 3, "n_epochs": 3, "lr": 0.01, "reg": 0.02, "seed": 1})
+    assert users.count() == 12
+    assert [len(kept(kind) - before[kind]) for kind in range(2)] == [1, 1]
+    assert 1 <= len(kept(2) - before[2]) <= svdpp.BLOCKS

@@ -184,6 +184,49 @@ def test_scorer_sorts_only_scores_ahead_of_the_best_so_far(metric, monkeypatch):
     assert np.allclose(found[2][found[0] == 9], want)
 
 
+def _in_cells(rng, n, cells=30, width=0.2, d=12):
+    m = rng.normal(size=(cells, d))[rng.integers(0, cells, n)] + rng.normal(size=(n, d)) * width
+    m[n // 2] = 0
+    return m
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_scorer_meets_only_cells_within_reach(metric, monkeypatch):
+    m = _in_cells(np.random.default_rng(10), 20_000)
+    at = np.random.default_rng(11).permutation(20_000)[:256]
+    cells, plain = [], tiles._Scorer._scores
+    monkeypatch.setattr(tiles, "_CELL_ROWS", 500)
+    monkeypatch.setattr(tiles._Scorer, "_scores", lambda self, q, length, lo, hi: cells.append(len(q) * (hi - lo)) or plain(self, q, length, lo, hi))
+    scorer = tiles._Scorer(np.arange(20_000), m, metric, 20, None)
+    found = scorer.top(at, m[at], np.arange(256), at)
+    assert sum(cells) < 256 * 20_000 / 4
+    for n in range(0, 256, 25):
+        x = m[at[n]]
+        s = m @ x / np.linalg.norm(x) / np.where((size := np.linalg.norm(m, axis=1)) == 0, 1, size) if metric == "cosine" else -((m - x) ** 2).sum(1)
+        assert found[1][found[0] == at[n]].tolist() == best(s, 20, {at[n]})
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+@pytest.mark.parametrize("copies", [False, True])
+def test_blocks_of_cells_lose_no_neighbour(spark, metric, copies, monkeypatch):
+    """Vectors in cells, over four blocks: the lists of all pairs, and few queries leave their own block. A cell of
+    fewer items than a list is long, and zero vectors, need the others."""
+    m = _in_cells(np.random.default_rng(12), 600, cells=9)
+    m[:4] = 40.0 + np.arange(4)[:, None] * np.eye(12)[3]
+    if copies:
+        m[100:130] = m[99]
+    sent, plain = [], tiles._to_tiles
+    monkeypatch.setattr(tiles, "_to_tiles", lambda items, rows, *a: sent.append(rows.count()) or plain(items, rows, *a))
+    got = similarity.neighbours(vectors(spark, m), 8, metric, Layout(2, 4)).collect()
+    assert len(sent) == 2 and sent[1] < sent[0]
+    lists = {}
+    for r in sorted(got, key=lambda r: (r.movie_idx, r["rank"])):
+        lists.setdefault(r.movie_idx, []).append((r["rank"], r.neighbour_idx))
+    for i, row in enumerate(m):
+        s = [cosine(row, o) if metric == "cosine" else -float(((row - o) ** 2).sum()) for o in m]
+        assert lists[i] == list(enumerate(best(s, 8, {i}), 1)), i
+
+
 def test_scorer_memory_and_walk_are_bounded(monkeypatch):
     """A million short vectors: scores fill a few slabs at most, and long vectors end the walk."""
     import tracemalloc

@@ -347,3 +347,16 @@ def test_users_and_items_of_little_activity_are_served(spark, tmp_path, name):
     found = QUERIES[name](spark, str(tmp_path))
     assert {r.user_id for r in found.select("user_id").collect()} == {0, 1, 2}
     assert found.count() == len(con.execute(ORACLES[name]).fetchall())
+
+
+def test_sparse_entries_take_no_more_tiles_than_the_cores_need(spark):
+    """Every shard gets a copy of the vectors: 200 copies for a handful of weights is what moved the most."""
+    from tastemill.operators import tiles
+
+    m = np.random.default_rng(1).normal(size=(12, 3))
+    vecs = vectors(spark, m).select(F.col("movie_idx").alias("item"), F.col("features").alias("vec"))
+    entries = spark.createDataFrame([(u, i, 1.0 + u) for u in range(5) for i in range(u, 12, 3)], "key LONG, item LONG, weight DOUBLE")
+    found = tiles.weighted_sums(entries, vecs, Layout(200, 1))
+    assert found.rdd.getNumPartitions() <= tiles._TILES_PER_CORE * spark.sparkContext.defaultParallelism < 200
+    for r in found.collect():
+        assert np.allclose(r.vec, (1.0 + r.key) * m[r.key::3].sum(axis=0))

@@ -26,20 +26,29 @@ def item_values(items: DataFrame, tags: DataFrame | None = None) -> DataFrame:
     """(movie_idx, kind, value, n): genres, cast, director and long tag words of
     each item, counted per item before any user is involved. Tag words come from
     the rows of ``tags`` (movie_idx, tag), or else from a text column."""
-    parts = []
+    cells = []
     for kind, column in (("genre", "genres_list"), ("cast", "cast")):
         if column in items.columns:
-            parts.append(items.select("movie_idx", F.lit(kind).alias("kind"), F.explode(text.as_list(items, column)).alias("value")))
+            cells.append(_cells(kind, text.as_list(items, column)))
     if "director" in items.columns:
-        parts.append(items.select("movie_idx", F.lit("director").alias("kind"), F.col("director").alias("value")).dropna())
-    if tags is not None:
+        cells.append(_cells("director", F.array_compact(F.array("director"))))
+    if tags is None and "user_tags_text" in items.columns:
+        cells.append(_cells("tag", text.long_words(F.col("user_tags_text"))))
+    parts = []
+    if cells:  # one pass over the items, whose columns may be costly
+        parts.append(items.select("movie_idx", F.explode(F.concat(*cells)).alias("c")).select("movie_idx", "c.*", F.lit(1).cast("bigint").alias("n")))
+    if tags is not None:  # equal tags of an item are split into words once
+        counted = tags.groupBy("movie_idx", "tag").agg(F.count(F.lit(1)).alias("n"))
         words = F.explode(text.long_words(F.col("tag")))
-        parts.append(tags.select("movie_idx", F.lit("tag").alias("kind"), words.alias("value")))
-    elif "user_tags_text" in items.columns:
-        words = F.explode(text.long_words(F.col("user_tags_text")))
-        parts.append(items.select("movie_idx", F.lit("tag").alias("kind"), words.alias("value")))
+        parts.append(counted.select("movie_idx", F.lit("tag").alias("kind"), words.alias("value"), "n"))
     values = reduce(DataFrame.unionByName, parts)
-    return values.groupBy("movie_idx", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
+    return values.groupBy("movie_idx", "kind", "value").agg(F.sum("n").alias("n"))
+
+
+def _cells(kind: str, values):
+    """Array of (kind, value); empty for a null array."""
+    cells = F.transform(values, lambda x: F.struct(F.lit(kind).alias("kind"), x.cast("string").alias("value")))
+    return F.coalesce(cells, F.array().cast("array<struct<kind:string,value:string>>"))
 
 
 def taste_profile(
@@ -49,8 +58,9 @@ def taste_profile(
     """(user_id, kind, rank, value, n): top values per user and kind. Tag words
     are cut to the top ones first and then need a count above one."""
     liked = ratings.filter(F.col("rating") >= threshold).select("user_id", "movie_idx")
+    # dealt out once: neither the sums nor the ranks move the values of all liked items again
     counted = (
-        liked.join(item_values(items, tags), "movie_idx")
+        liked.join(item_values(items, tags), "movie_idx").repartition("user_id", "kind")
         .groupBy("user_id", "kind", "value").agg(F.sum("n").alias("n"))
     )
     ranked = top_per_group(counted, ["user_id", "kind"], [F.desc("n"), F.asc("value")], max(top, top_words))

@@ -57,6 +57,15 @@ def test_taste_profile_rules(spark):
     assert got == {("genre", "Drama"): (1, 2), ("genre", "War"): (2, 1), ("cast", "A"): (1, 1), ("director", "D"): (1, 1), ("tag", "gloomy"): (1, 3)}
 
 
+def test_item_values_read_the_items_once(spark):
+    items = spark.createDataFrame([(0, ["Drama", None], ["A"], "D"), (1, None, [], None)], "movie_idx INT, genres_list ARRAY<STRING>, cast ARRAY<STRING>, director STRING")
+    values = insights.item_values(items)
+    assert values._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+    assert sorted((x.kind, x.value or "", x.n) for x in values.collect()) == [("cast", "A", 1), ("director", "D", 1), ("genre", "", 1), ("genre", "Drama", 1)]
+    tags = spark.createDataFrame([(0, "gloomy gloomy ends"), (0, "gloomy gloomy ends"), (0, None), (1, "bright")], "movie_idx INT, tag STRING")
+    assert sorted((x.movie_idx, x.value, x.n) for x in insights.item_values(items.select("movie_idx"), tags).collect()) == [(0, "gloomy", 4), (1, "bright", 1)]
+
+
 def test_feed_golden(spark):
     rows = [(1, "A", 3.0, 1, 1, "upsert"), (1, "A", 4.0, 2, 2, "upsert"), (1, "B", 5.0, 1, 3, "upsert"), (1, "B", None, 5, 4, "delete"),
             (2, "A", 2.0, 7, 6, "upsert"), (2, "A", 1.0, 7, 5, "upsert")]

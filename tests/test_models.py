@@ -402,3 +402,32 @@ def test_svdpp_keeps_only_the_last_states(spark):
     assert users.count() == 12
     # 16 visits, of which the last one to each stratum is kept, and seven other tables
     assert len(tables() - before) <= svdpp.BLOCKS + 7
+
+
+def test_svd_reads_rows_once_for_the_gram(spark, monkeypatch):
+    """X'X is made in one pass, from short rows, dense ones and repeated cells; every product reads its strips."""
+    from tastemill.session import cut_lineage
+
+    r = np.random.default_rng(5)
+    m = np.where(r.random((700, 150)) < 0.03, r.normal(size=(700, 150)), 0.0)
+    m[600:] = r.normal(size=(100, 150))
+    rows = cut_lineage(sparse_rows(spark, m))
+    want = m.T @ m
+    block = r.normal(size=(150, 9))
+    monkeypatch.setattr(svd, "_ROWS", 100)
+    for outer in (0, 1e9):
+        monkeypatch.setattr(svd, "_OUTER", outer)
+        strips = svd._gram_strips(rows, 150)
+        assert np.allclose(svd._strip_product(strips, block), want @ block, atol=1e-9)
+    twice = spark.createDataFrame([(0, [(1, 2.0), (1, 3.0), (0, 1.0)])], "doc LONG, terms ARRAY<STRUCT<term_idx: INT, weight: DOUBLE>>")
+    assert np.allclose(svd._strip_product(svd._gram_strips(twice, 2), np.eye(2)), [[1.0, 5.0], [5.0, 25.0]])
+    monkeypatch.setattr(svd, "_gram_pass", None)  # no product reads the rows
+    values = np.linalg.svd(m, compute_uv=False)
+    assert np.allclose(svd.truncated_svd(rows, 150, 5).singular_values, values[:5], atol=1e-6)
+
+
+def test_component_sums(spark):
+    m = np.random.default_rng(6).normal(size=(40, 4))
+    rows = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(m)], "doc LONG, features ARRAY<DOUBLE>").repartition(3)
+    got = np.array([list(x) for x in svd.component_sums(rows).orderBy("c").collect()])
+    assert np.allclose(got[:, 1:], np.array([m.sum(0), (m**2).sum(0), np.append((m[:, :-1] * m[:, 1:]).sum(0), 0.0)]).T)

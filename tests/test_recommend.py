@@ -360,3 +360,23 @@ def test_sparse_entries_take_no_more_tiles_than_the_cores_need(spark):
     assert found.rdd.getNumPartitions() <= tiles._TILES_PER_CORE * spark.sparkContext.defaultParallelism < 200
     for r in found.collect():
         assert np.allclose(r.vec, (1.0 + r.key) * m[r.key::3].sum(axis=0))
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+@pytest.mark.parametrize("scale", [1.0, 2.0, 1e3])
+def test_single_precision_only_rules_out(metric, scale):
+    """Lists are those of exact scores, with ties, seen items and vectors too long for single precision."""
+    from tastemill.operators import tiles
+
+    r = np.random.default_rng(3)
+    m = r.normal(size=(3000, 8)) * scale
+    m[1000:1400] = m[:400]
+    m[1400:1500] = m[:100] * (1 + 1e-9)
+    q = np.concatenate((m[:60], r.normal(size=(60, 8)) * scale))
+    own = (np.arange(60), np.arange(60))
+    exact = tiles._Scorer(np.arange(3000), m, metric, 20, None)
+    assert (exact.near is None) == (scale == 1e3 and metric == "euclidean")
+    exact.near = None
+    got = tiles._Scorer(np.arange(3000), m, metric, 20, None).top(np.arange(120), q, *own)
+    for a, b in zip(got, exact.top(np.arange(120), q, *own)):
+        assert np.array_equal(a, b)

@@ -47,6 +47,43 @@ def test_template_text_is_dropped(spark):
     assert html_templates.extract(pages.where("false")).count() == 0
 
 
+def test_classes_nest_and_their_slots_decide(spark):
+    def shop(k):
+        # two repeated lines on most pages; a slot whose advert lacks its mark on one page, beside text of another path there
+        mark = "" if k == 3 else ' class="ad"'
+        extra = "<p>Delivered within two days</p><b>Ask us for sizes</b>" if k % 4 else ""
+        intro = f"<h2>intro {k}</h2>" if k == 3 else ""
+        rows = "".join(f"<li><i>{k} {j}</i></li>" for j in range(1 + k % 3))
+        return f"<html><body><div{mark}>offer {k}</div>{intro}<section><h1>item {k}</h1><ul>{rows}</ul>{extra}<p>about {k}</p></section><span>end</span></body></html>"
+
+    rows = [(k, "http://shop.example/i", shop(k)) for k in range(20)] + [(100 + k, "http://few.example/i", shop(k)) for k in range(7)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html_templates.extract(pages).collect()}
+    assert found[3] == "intro 3\nitem 3\n3 0\nabout 3"
+    assert found[5] == "item 5\n5 0\n5 1\n5 2\nabout 5"
+    assert found[103] == "offer 3\nintro 3\nitem 3\n3 0\nDelivered within two days\nAsk us for sizes\nabout 3\nend"
+    (template,) = html_templates.deduce_templates(pages).collect()
+    name = lambda path, text="": html_templates._token(path, text)
+    where = {t: (k, rank) for k, c in enumerate(template.classes) for rank, t in enumerate(c.tokens)}
+    assert template.host == "shop.example" and template.classes[0].is_root and template.classes[0].parent == -1
+    (item,) = {where[name(p)][0] for p in ("html/body/section/ul/li", "html/body/section/ul/li/i", "html/body/section/ul/li/i//i", "html/body/section/ul/li//li")
+               if name(p) in where}
+    around = template.classes[template.classes[item].parent]
+    assert around.is_root and around.tokens[template.classes[item].gap] == name("html/body/section/ul")
+    assert set(template.text_tokens) == {name("html/body/section/p", "Delivered within two days"), name("html/body/section/b", "Ask us for sizes"), name("html/body/span", "end")}
+
+
+def test_nesting_leaves_out_classes_that_cross():
+    one = lambda n: {"tokens": list(range(n))}
+    rel = lambda a, b, low, high=None: {"a": a, "b": b, "low": low, "high": low if high is None else high}
+    across = html_templates._ACROSS
+    # 1 in a gap of 0, 2 in a gap of 1, 3 crosses 1, 4 in changing gaps of 0, 5 apart from all
+    relations = [rel(1, 0, 2), rel(2, 0, 2), rel(2, 1, 1), rel(3, 0, 2), rel(1, 3, across), rel(3, 1, across), rel(4, 0, 0, 3), rel(0, 4, across)]
+    relations += [rel(0, b, across) for b in (1, 2, 3)] + [rel(1, 2, across)] + [rel(5, b, -1) for b in range(5)] + [rel(a, 5, -1) for a in range(5)]
+    valid = html_templates.nest([one(k + 2) for k in range(6)], relations)
+    assert [(len(c["tokens"]) - 2, c["parent"], c["gap"]) for c in valid] == [(0, -1, 0), (1, 0, 2), (2, 1, 1), (5, -1, 0)]
+
+
 def test_warc(spark, tmp_path):
     tricky = "WARC/1.1\r\nWARC-Type: response\r\n\r\n\r\n\r\nWARC/1.1"
     rows = [(1, "http://a/", "x"), (2, "http://b/", tricky), (3, None, "x"), (4, "http://c/", None), (9, "http://d/", ""), (7, "u\r\nx: y", "é"), (9, "http://d/", ""), (None, "n", "x")]

@@ -302,6 +302,22 @@ def test_svdpp_steps_the_whole_history_across_cells(cells):
     np.testing.assert_allclose(state[0, 3 + width : 3 + 2 * width], want_items[:, 1 + width :].sum(axis=0), rtol=1e-7)
 
 
+def test_svdpp_visits_users_without_common_items_at_once():
+    rng = np.random.default_rng(2)
+    user = np.repeat(np.arange(300), 4)
+    item = np.concatenate([rng.choice(2000, 4, replace=False) for _ in range(300)])
+    item[4 * 7] = item[4 * 8] = item[4 * 200] = 5  # one that three users share
+    starts = np.arange(0, 1200, 4)
+    groups = list(svdpp._apart(item, starts, starts + 4, 2000))
+    assert sorted(k for g in groups for k in g) == list(range(300)) and len(groups) < 30
+    at = {k: n for n, g in enumerate(groups) for k in g}
+    assert at[7] < at[8] < at[200]
+    for g in groups:
+        own = [set(item[4 * k : 4 * k + 4]) for k in g]
+        assert len(set().union(*own)) == sum(map(len, own))
+    assert list(svdpp._apart(item[:0], starts[:0], starts[:0], 0)) == []
+
+
 def test_svdpp_does_not_depend_on_shuffle_partitions(spark, world, monkeypatch):
     monkeypatch.setattr(svdpp, "CELL_RATINGS", 40)  # several hundred ratings: more blocks than the fewest
     train = world.filter("split = 'train'")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tastemill import session
 from tastemill.config import TfidfParams
-from tastemill.operators import factor_evaluating, factor_models, features, svd, svdpp, tfidf
+from tastemill.operators import factor_evaluating, factor_models, features, least_squares, svd, svdpp, tfidf
 from tastemill.plans.models import ContentModel, fit_models
 from tastemill.plans.specs import SPECS, FeatureGroups, ModelSpec
 
@@ -242,6 +242,53 @@ def test_svd_beats_biases_alone(spark, world):
     assert rmse_of(full, val) < rmse_of(only, val)
 
 
+@pytest.mark.parametrize("budget", [least_squares._SOLVE_BYTES, 1, 3000])
+def test_least_squares_of_few_and_many_ratings(monkeypatch, budget):
+    monkeypatch.setattr(least_squares, "_SOLVE_BYTES", budget)
+    rng = np.random.default_rng(3)
+    y, counts = rng.normal(size=(50, 8)).astype(np.float32), np.array([3, 20, 1, 8, 3, 40])
+    pos, ratings = rng.integers(0, 50, counts.sum()), rng.normal(size=counts.sum())
+    found = least_squares.solve(y, pos, ratings, counts, 0.3)
+    for k, (n, end) in enumerate(zip(counts, np.cumsum(counts))):
+        own = y[pos[end - n : end]].astype(float)
+        assert np.allclose(found[k], np.linalg.solve(own.T @ own + 0.3 * n * np.eye(8), own.T @ ratings[end - n : end]), atol=1e-5)
+
+
+def test_alternating_rounds_equal_plain_ones(spark, monkeypatch):
+    """Ids below zero and wide ones, a repeated rating, a user of one rating; many blocks and few."""
+    rng = np.random.default_rng(4)
+    rows = [(u * 2**33 - 5, i - 3, float(rng.integers(1, 11)) / 2) for u in range(25) for i in range(18) if (u * i) % 3 < 2]
+    rows += [rows[7], (99, 4, 2.5)]
+    ratings = spark.createDataFrame(rows, "user_id long, movie_id long, rating double")
+    rank, reg, seed = 5, 0.1, 7
+
+    def draw(i):
+        d = np.random.default_rng([seed, int(i < 0), abs(i)]).normal(size=rank)
+        return (d / np.linalg.norm(d)).astype(np.float32)
+
+    users, items = {u: draw(u) for u, _, _ in rows}, {}
+    for _ in range(2):
+        for mine, theirs, at in ((items, users, 1), (users, items, 0)):
+            by = {}
+            for r in rows:
+                by.setdefault(r[at], []).append((theirs[r[1 - at]].astype(float), r[2]))
+            for k, own in by.items():
+                m, v = np.array([o[0] for o in own]), np.array([o[1] for o in own])
+                mine[k] = np.linalg.solve(m.T @ m + reg * len(own) * np.eye(rank), m.T @ v).astype(np.float32)
+    for most in (2_000_000, 30):
+        monkeypatch.setattr(least_squares, "BLOCK_RATINGS", most)
+        p, q = least_squares.fit(ratings, rank, 2, reg, seed, 3)
+        for table, want in ((p, users), (q, items)):
+            found = {r[0]: r[1] for r in table.collect()}
+            assert set(found) == set(want) and all(np.allclose(found[k], want[k], atol=1e-4) for k in want)
+
+
+def test_least_squares_blocks_follow_what_a_block_holds():
+    assert least_squares.grid_blocks(467_000, 20_000, 100, 8) == 8
+    n = least_squares.grid_blocks(28_000_000, 1_200_000, 100, 8)
+    assert 28_000_000 / n * 100 * 4 <= least_squares.BLOCK_BYTES and n < 60
+
+
 def test_factor_guards_and_wide_ids(spark, world):
     with pytest.raises(ValueError):
         factor_models.FactorModel("knn")

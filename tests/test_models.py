@@ -283,6 +283,13 @@ def test_alternating_rounds_equal_plain_ones(spark, monkeypatch):
             assert set(found) == set(want) and all(np.allclose(found[k], want[k], atol=1e-4) for k in want)
 
 
+@pytest.mark.parametrize("odd", [None, float("nan")])
+def test_least_squares_refuses_unknown_ratings(spark, odd):
+    ratings = spark.createDataFrame([(1, 1, 3.0), (2, 1, odd)], "user_id long, movie_id long, rating double")
+    with pytest.raises(Exception, match="MUST NOT be Null"):
+        least_squares.fit(ratings, 2, 1, 0.1, 7, 2)
+
+
 def test_least_squares_blocks_follow_what_a_block_holds():
     assert least_squares.grid_blocks(467_000, 20_000, 100, 8) == 8
     n = least_squares.grid_blocks(28_000_000, 1_200_000, 100, 8)
